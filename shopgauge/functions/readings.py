@@ -9,14 +9,19 @@ NONZERO_DIGIT = "[1-9]"
 
 
 def readings(text: Column) -> Column:
-    """Array of the plain numbers in a measurement text; junk tokens are left out."""
+    """Array of the plain numbers in a measurement text; junk tokens are left out.
+
+    Most texts are one token, which needs no array functions.
+    """
     tokens = F.filter(F.split(text, ";"), lambda token: token.rlike(NUMBER))
-    return F.transform(tokens, lambda token: token.cast("double"))
+    listed = F.transform(tokens, lambda token: token.cast("double"))
+    return F.when(text.contains(";"), listed).when(text.rlike(NUMBER), F.array(text.cast("double")))
 
 
 def reading_sum(values: Column) -> Column:
-    """Sum of an array of readings, 0.0 when it is empty."""
-    return F.aggregate(values, F.lit(0.0), lambda total, value: total + value)
+    """Sum of an array of readings, NULL when there is none."""
+    total = F.aggregate(values, F.lit(0.0), lambda total, value: total + value)
+    return F.when(F.size(values) == 1, values[0]).when(F.size(values) > 1, total)
 
 
 def has_nonzero_digit(text: Column) -> Column:

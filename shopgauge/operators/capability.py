@@ -3,12 +3,10 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgauge.functions.dates import label_year, short_label, span_text, unit_begin, unit_end
+from shopgauge.functions.dates import label_year, row_order, short_label, span_text, unit_begin, unit_end
 from shopgauge.functions.numbers import fixed3
 from shopgauge.functions.readings import has_nonzero_digit, readings
 from shopgauge.operators import fixed_values as fixed
-from shopgauge.operators.keyed import at_newest
-from shopgauge.operators.subgroups import ROW_ORDER
 from shopgauge.schema import KEY
 
 MIN_READINGS = 32
@@ -24,16 +22,17 @@ def pooled_stats(measurements: DataFrame, unit: str) -> DataFrame:
     long = read.select(
         *KEY,
         unit_begin(F.to_date("mdate"), unit).alias("unit_begin"),
-        *ROW_ORDER,
+        row_order(F.col("mdate"), F.col("id")).alias("_order"),
         "lower",
         "upper",
-        F.explode(readings(F.col("tdata"))).alias("value"),
-    )
+        F.explode_outer(readings(F.col("tdata"))).alias("value"),
+    ).filter(F.col("value").isNotNull())
     return long.groupBy(*KEY, "unit_begin").agg(
         F.count("value").alias("readings"),
         F.avg("value").alias("mean"),
         F.stddev_pop("value").alias("deviation"),
-        at_newest(F.struct("lower", "upper"), ROW_ORDER).alias("spec"),
+        F.max_by("lower", "_order").alias("lsl"),
+        F.max_by("upper", "_order").alias("usl"),
     )
 
 
@@ -51,7 +50,7 @@ def capability(
     the measurements are expected to be cut to them already.
     """
     stats = pooled_stats(measurements, unit).filter(F.col("readings") >= min_readings)
-    usl, lsl = F.col("spec.upper"), F.col("spec.lower")
+    usl, lsl = F.col("usl"), F.col("lsl")
     stats = stats.filter(F.coalesce(usl > lsl, usl.isNotNull() | lsl.isNotNull()))
     three_sigma = F.nullif(F.col("deviation"), F.lit(0.0))
     first, last = F.col("unit_begin"), unit_end(F.col("unit_begin"), unit)

@@ -22,23 +22,10 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return joined.drop(*[f"_r_{k}" for k in keys])
 
 
-def order_key(order: Sequence[str]) -> Column:
-    return F.struct(*order)
-
-
-def at_newest(value: Column, order: Sequence[str]) -> Column:
-    """Aggregate: the value of the last row in `order`, also when that value is NULL."""
-    return F.max_by(value, order_key(order))
-
-
-def at_oldest(value: Column, order: Sequence[str]) -> Column:
-    return F.min_by(value, order_key(order))
-
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key. An aggregate, so copies of a hot key shrink before the shuffle."""
     others = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(at_newest(F.struct(*others), order).alias("_row"))
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("_row"))
     return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in others]).select(*df.columns)
 
 
@@ -63,10 +50,11 @@ def spread(df: DataFrame, keys: Sequence[str], order: Sequence[str], slots: int
     """Cut the rows, sorted by key and order, into even slots numbered in that order.
 
     Most keys lie in one slot; a key with a large share of the rows runs over many. The slot numbers
-    come from sampled bounds, so they are pinned: all later steps must see the same ones.
+    come from sampled bounds, so they are pinned: all later steps must see the same ones. Without
+    `slots` their number follows the shuffle partitions and the size of the data.
     """
-    count = slots or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(count, *keys, *order)
+    count = [slots] if slots else []
+    ranged = df.repartitionByRange(*count, *keys, *order)
     return pinned(ranged.withColumn(SLOT, F.spark_partition_id()))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from shopgauge.functions.numbers import fixed3
 from shopgauge.operators import fixed_values as fixed
 from shopgauge.operators.keyed import join_same
-from shopgauge.operators.subgroups import modal_size, sample_of_subgroups, subgroup_stats
+from shopgauge.operators.subgroups import modal_size, process_sheets, sample_of_subgroups, subgroup_stats
 from shopgauge.schema import KEY, LIMITS
 from shopgauge.sources.tables import fixed_table
 
@@ -69,14 +69,9 @@ def control_limits(
     needs `subgroups` different sheets and as many samples with readings. With force_n the sample size
     is not taken from the data; with require_spec a process without any spec limit gets no limits.
     """
-    stats = subgroup_stats(measurements)
-    process = stats.groupBy(*KEY).agg(
-        F.count_distinct("id_no").alias("_sheets"),
-        F.max_by("spec", F.struct("mdate", "id_no", "rcard")).alias("_spec"),
-        F.max("mdate").alias("mdate"),
-    )
+    process = process_sheets(measurements).filter(F.col("sheets") >= subgroups)
     centre = (
-        sample_of_subgroups(stats, subgroups, take)
+        sample_of_subgroups(subgroup_stats(measurements), subgroups, take)
         .groupBy(*KEY)
         .agg(
             F.count(F.lit(1)).alias("_taken"),
@@ -87,8 +82,7 @@ def control_limits(
         )
         .filter(F.col("_taken") >= subgroups)
     )
-    joined = join_same(centre, process.filter(F.col("_sheets") >= subgroups), KEY)
-    joined = joined.withColumns({"usl": F.col("_spec.upper"), "lsl": F.col("_spec.lower")})
+    joined = join_same(centre, process, KEY)
     if require_spec:
         joined = joined.filter(F.col("usl").isNotNull() | F.col("lsl").isNotNull())
     limits = with_constants(joined, "pcs").withColumns(

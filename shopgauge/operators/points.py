@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from shopgauge.functions.numbers import fixed3
 from shopgauge.operators.keyed import look_back
-from shopgauge.operators.subgroups import subgroup_stats, usable
-from shopgauge.schema import KEY, POINTS, SHEET
+from shopgauge.operators.subgroups import sheet_stats
+from shopgauge.schema import KEY, POINTS
 
 
 def limited_measurements(measurements: DataFrame, limits: DataFrame) -> DataFrame:
@@ -26,12 +26,11 @@ def chart_points(
     A sheet with one reading is charted with its moving range: the spread of its reading and the
     readings of the sheet before. The first sheet of a process has none and gives no point.
     """
-    sheets = usable(subgroup_stats(limited_measurements(measurements, limits), SHEET))
-    sheets = sheets.drop("mdate").withColumnRenamed("begin_mdate", "mdate")
+    sheets = sheet_stats(limited_measurements(measurements, limits))
     with_previous = look_back(
         sheets,
         KEY,
-        ["mdate", *SHEET],
+        ["mdate", "id_no"],
         1,
         lambda window: {
             "_previous_low": F.lag("low").over(window),

@@ -1,63 +1,87 @@
 """From measurement rows to samples: parsed readings, sample statistics, moving range, mode."""
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from shopgauge.functions.dates import row_order
 from shopgauge.functions.readings import reading_sum, readings
-from shopgauge.operators.keyed import at_newest, at_oldest, first_n, look_back
+from shopgauge.operators.keyed import first_n, look_back
 from shopgauge.schema import KEY, SUBGROUP
 
-ROW_ORDER = ["mdate", "id"]
+SAMPLE_ORDER = ["mdate", "id_no", "rcard"]
 
 
 def parse_readings(measurements: DataFrame) -> DataFrame:
     """One row per usable reading, as column `value`."""
-    return measurements.withColumn("value", F.explode(readings(F.col("tdata"))))
+    parsed = measurements.withColumn("value", F.explode_outer(readings(F.col("tdata"))))
+    return parsed.filter(F.col("value").isNotNull())
 
 
-def subgroup_stats(measurements: DataFrame, subgroup: Sequence[str] = SUBGROUP) -> DataFrame:
-    """Count, sum, extremes and population deviation of each sample, plus what its first and last row say.
+def subgroup_stats(measurements: DataFrame) -> DataFrame:
+    """Count, sum, extremes and population deviation of each sample, and the sum of its newest usable row.
 
-    Samples without a usable reading stay, with n = 0: they count for the number of sheets. All
-    measures are built up in the map tasks, so the shuffle carries samples, not readings.
+    Only usable readings count, so samples without any drop out; the times are those of all rows. All
+    buffers are numbers: the map tasks aggregate by hash, and the shuffle carries samples, not readings.
     """
-    parsed = measurements.withColumn("_readings", readings(F.col("tdata")))
-    long = parsed.select(
+    parsed = measurements.withColumn("_readings", readings(F.col("tdata"))).select(
         *KEY,
-        *dict.fromkeys([*subgroup, "rcard"]),
-        *ROW_ORDER,
-        "lower",
-        "upper",
-        F.when(F.size("_readings") > 0, reading_sum(F.col("_readings"))).alias("_row_sum"),
-        F.explode_outer("_readings").alias("value"),
+        *SUBGROUP,
+        "mdate",
+        "_readings",
+        reading_sum(F.col("_readings")).alias("_row_sum"),
+        F.when(F.size("_readings") > 0, row_order(F.col("mdate"), F.col("id"))).alias("_order"),
     )
-    # An unusable row has no sum; it must not hide the newest usable one.
-    usable_order = F.when(F.col("_row_sum").isNotNull(), F.struct(*ROW_ORDER))
-    first_rcard = [] if "rcard" in subgroup else [at_oldest(F.col("rcard"), ROW_ORDER).alias("rcard")]
-    stats = long.groupBy(*KEY, *subgroup).agg(
-        *first_rcard,
+    # The outer explode keeps the parsing from being repeated in a filter on empty arrays.
+    long = parsed.withColumn("value", F.explode_outer("_readings"))
+    stats = long.groupBy(*KEY, *SUBGROUP).agg(
         F.count("value").cast("int").alias("n"),
         F.sum("value").alias("total"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
         F.stddev_pop("value").alias("deviation"),
-        F.max_by("_row_sum", usable_order).alias("newest_row_sum"),
+        F.max_by("_row_sum", "_order").alias("newest_row_sum"),
         F.min("mdate").alias("begin_mdate"),
         F.max("mdate").alias("mdate"),
-        at_newest(F.struct("lower", "upper"), ROW_ORDER).alias("spec"),
     )
-    return stats.withColumn("span", F.col("high") - F.col("low"))
+    return stats.filter(F.col("n") > 0).withColumn("span", F.col("high") - F.col("low"))
+
 
+def sheet_stats(measurements: DataFrame) -> DataFrame:
+    """Statistics per inspection sheet whatever the run card, under the run card and time of its first row.
+
+    The deviations of the cards are put together from their sums of squares about their own means.
+    """
+    n, total = F.sum("n"), F.sum("total")
+    within = F.sum(F.col("n") * F.col("deviation") * F.col("deviation"))
+    between = F.sum(F.col("total") * F.col("total") / F.col("n")) - total * total / n
+    merged = subgroup_stats(measurements).groupBy(*KEY, "id_no").agg(
+        F.min_by("rcard", F.struct("begin_mdate", "rcard")).alias("rcard"),
+        F.min("begin_mdate").alias("mdate"),
+        n.cast("int").alias("n"),
+        total.alias("total"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.when(F.count(F.lit(1)) == 1, F.max("deviation"))
+        .otherwise(F.sqrt((within + F.greatest(between, F.lit(0.0))) / n))
+        .alias("deviation"),
+    )
+    return merged.withColumn("span", F.col("high") - F.col("low"))
 
-def usable(stats: DataFrame) -> DataFrame:
-    return stats.filter(F.col("n") > 0)
 
+def process_sheets(measurements: DataFrame) -> DataFrame:
+    """Number of different sheets, newest time and newest spec limits of each process, unusable rows included.
 
-def sample_order(subgroup: Sequence[str] = SUBGROUP) -> list[str]:
-    return ["mdate", *reversed(subgroup)]
+    Reads the key, time and spec columns only.
+    """
+    newest = row_order(F.col("mdate"), F.col("id")).alias("_order")
+    rows = measurements.select(*KEY, "id_no", "mdate", "lower", "upper", newest)
+    return rows.groupBy(*KEY).agg(
+        F.count_distinct("id_no").alias("sheets"),
+        F.max("mdate").alias("mdate"),
+        F.max_by("lower", "_order").alias("lsl"),
+        F.max_by("upper", "_order").alias("usl"),
+    )
 
 
 def _range(neighbour: Column) -> Column:
@@ -66,15 +90,14 @@ def _range(neighbour: Column) -> Column:
 
 
 def moving_range(stats: DataFrame, slots: int | None = None) -> DataFrame:
-    """Range of every usable sample; a sample of one is compared with the newest row of the next-older sample.
+    """Range of every sample; a sample of one is compared with the newest row of the next-older sample.
 
     The oldest sample of a process has no neighbour and, if it holds one reading, no range.
     """
-    order = sample_order()
     return look_back(
-        usable(stats),
+        stats,
         KEY,
-        order,
+        SAMPLE_ORDER,
         1,
         lambda window: {"range": _range(F.lag("newest_row_sum").over(window))},
         slots=None,
@@ -82,13 +105,13 @@ def moving_range(stats: DataFrame, slots: int | None = None) -> DataFrame:
 
 
 def sample_of_subgroups(stats: DataFrame, n: int = 30, take: str = "oldest") -> DataFrame:
-    """The n oldest or newest usable samples of each process, with their (moving) ranges."""
-    order = sample_order()
+    """The n oldest or newest samples of each process, with their (moving) ranges."""
+    order = SAMPLE_ORDER
     if take == "oldest":
-        chosen = first_n(usable(stats), KEY, [F.asc(c) for c in order], n)
+        chosen = first_n(stats, KEY, [F.asc(c) for c in order], n)
     else:
         # One more sample is kept as the neighbour of the oldest one taken.
-        chosen = first_n(usable(stats), KEY, [F.desc(c) for c in order], n + 1)
+        chosen = first_n(stats, KEY, [F.desc(c) for c in order], n + 1)
     neighbour = F.lag("newest_row_sum").over(W.partitionBy(*KEY).orderBy(*order))
     return chosen.withColumn("range", _range(neighbour)).filter(F.col("num") <= n)
 

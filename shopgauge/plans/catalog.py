@@ -14,7 +14,7 @@ from shopgauge.operators import lookups, periods, points, recheck, rules, slices
 from shopgauge.operators.keyed import pinned, ranked
 from shopgauge.plans import clean
 from shopgauge.plans.limits import patrols, recoded_limits, relocated_limits, scoped
-from shopgauge.schema import KEY, LIMITS
+from shopgauge.schema import KEY
 from shopgauge.sources import fixtures, store
 from shopgauge.sources.tables import load
 
@@ -37,7 +37,8 @@ def _time(text: str):
 
 
 def _patrols(spark, folder):
-    return patrols(fixtures.insp(spark, folder))
+    """Patrol measurements as a finished table."""
+    return pinned(patrols(fixtures.insp(spark, folder)))
 
 
 def _stats(spark, folder):
@@ -92,7 +93,7 @@ def null_normalise(spark, folder):
 
 @query
 def subgroup_stats(spark, folder):
-    kept = subgroups.usable(_stats(spark, folder))
+    kept = _stats(spark, folder)
     return kept.select(
         "op_code", "rcard", "id_no", "n", "mdate",
         *[fixed3(F.col(c)).alias(c) for c in ("total", "span", "deviation")],
@@ -145,13 +146,13 @@ def row_id(spark, folder):
 
 @query
 def chart_class(spark, folder):
-    kept = subgroups.usable(_stats(spark, folder))
+    kept = _stats(spark, folder)
     return kept.select(*SHEET, "n", lim.chart_class(F.col("n")).alias("chart"))
 
 
 @query
 def chart_constants(spark, folder):
-    kept = subgroups.usable(_stats(spark, folder))
+    kept = _stats(spark, folder)
     return lim.with_constants(kept, "n").select(*SHEET, "n", "a2", "d4", "a3", "b4", "b3")
 
 
@@ -509,4 +510,3 @@ def station_recode(spark, folder):
     return recoded.select("id", "workshop_code", "factory", "sta_code", "tdata")
 
 
-__all__ = ["KEY", "LIMITS", "QUERIES"]

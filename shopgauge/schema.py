@@ -17,9 +17,6 @@ KEY = [
 # One inspection sheet on one run card: the sample behind a control limit.
 SUBGROUP = ["rcard", "id_no"]
 
-# One inspection sheet: the sample behind a chart point.
-SHEET = ["id_no"]
-
 LIMIT_COLUMNS = ["avgucl", "avglcl", "rangeucl", "rangelcl", "stddevucl", "stddevlcl"]
 
 
