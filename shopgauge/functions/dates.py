@@ -45,15 +45,14 @@ def label_year(begin: Column, end: Column, unit: str) -> Column:
     return F.date_format(begin if unit == "week" else end, "yyyy")
 
 
-def row_order(time: Column, row_id: Column) -> Column:
-    """Number that orders rows by time and, at the same time, by a hash of their id.
+def row_order(time: str, row_id: str) -> Column:
+    """Number that orders rows by a time column and, at the same time, by a hash of their id.
 
     A number, unlike a struct, can sit in a hash aggregate as the ordering of max_by. It is taken from
     the fields of the local time, so the session time zone plays no part.
     """
-    seconds = F.datediff(time, F.lit("1970-01-01").cast("date")).cast("long") * 86400 + (
-        F.hour(time) * 3600 + F.minute(time) * 60
-    )
-    micros = seconds * 1000000 + (F.extract(F.lit("SECOND"), time) * 1000000).cast("long")
-    tie = F.pmod(F.xxhash64(row_id), F.lit(10**18))
-    return (micros.cast("decimal(19,0)") * F.lit(10**18).cast("decimal(19,0)") + tie).cast("decimal(38,0)")
+    minutes = f"(bigint(datediff({time}, DATE'1970-01-01')) * 1440 + hour({time}) * 60 + minute({time}))"
+    micros = f"({minutes} * 60000000 + bigint(extract(SECOND FROM {time}) * 1000000))"
+    room = "1000000000000000000"
+    tie = f"pmod(xxhash64({row_id}), {room})"
+    return F.expr(f"cast(cast({micros} AS decimal(19,0)) * cast({room} AS decimal(19,0)) + {tie} AS decimal(38,0))")

@@ -22,7 +22,7 @@ def pooled_stats(measurements: DataFrame, unit: str) -> DataFrame:
     long = read.select(
         *KEY,
         unit_begin(F.to_date("mdate"), unit).alias("unit_begin"),
-        row_order(F.col("mdate"), F.col("id")).alias("_order"),
+        row_order("mdate", "id").alias("_order"),
         "lower",
         "upper",
         F.explode_outer(readings(F.col("tdata"))).alias("value"),

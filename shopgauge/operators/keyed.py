@@ -1,7 +1,6 @@
 """Joins, picks and ranks by key that stay whole and balanced when one key is very large."""
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
@@ -16,10 +15,9 @@ LOCAL_CHECKPOINTS = "/tmp/shopgauge-checkpoints"
 
 def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on keys in which NULL equals NULL, keeping the key columns of the left side."""
-    renamed = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    joined = left.join(renamed, on, how)
-    return joined.drop(*[f"_r_{k}" for k in keys])
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = F.expr(" AND ".join(f"{k} <=> _r_{k}" for k in keys))
+    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -1,7 +1,6 @@
 """Out-of-control rules over chart points, and the judging job."""
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
@@ -12,68 +11,68 @@ from shopgauge.schema import KEY, LIMIT_COLUMNS, RESULTS
 
 POINT_ORDER = ["mdate", "id_no"]
 
+# Points each rule looks back.
+DEPTH = {1: 0, 2: 2, 3: 4, 4: 5}
 
-def _all(conditions: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
+# (points column, upper limit, lower limit) of the three measures a point may have.
+MEASURES = {
+    "avg": ("avgvalue", "avgucl", "avglcl"),
+    "range": ("rangevalue", "rangeucl", "rangelcl"),
+    "stddev": ("stddevvalue", "stddevucl", "stddevlcl"),
+}
 
 
-def _earlier(value: str, depth: int, window: WindowSpec) -> list[Column]:
-    """The `depth` values before a point, newest first."""
-    return [F.lag(value, i).over(window) for i in range(1, depth + 1)]
+def _earlier(value: str, depth: int) -> list[str]:
+    """Names of the `depth` values before a point, newest first."""
+    return [f"{value}_{i}" for i in range(1, depth + 1)]
+
+
+def earlier_values(value: str, depth: int, window: WindowSpec) -> dict[str, Column]:
+    return {name: F.lag(value, i).over(window) for i, name in enumerate(_earlier(value, depth), 1)}
 
 
 def outside(value: str, ucl: str, lcl: str) -> Column:
     """Rule 1: the value lies outside its limits."""
-    return (F.col(value) > F.col(ucl)) | (F.col(value) < F.col(lcl))
+    return F.expr(f"{value} > {ucl} OR {value} < {lcl}")
 
 
-def _beyond(value: str, ucl: str, lcl: str, share: float, need: int, depth: int, window: WindowSpec) -> Column:
-    """The point and `need` of the `depth` before it lie beyond a share of the limit distance, on one side.
+def _beyond(value: str, ucl: str, lcl: str, share: int, need: int, depth: int) -> Column:
+    """The point and `need` of the `depth` before it lie beyond share/3 of the limit distance, on one side.
 
     NULL when one of the earlier values is missing.
     """
-    centre = (F.col(ucl) + F.col(lcl)) / 2
-    distance = (F.col(ucl) - centre) * share / 3
-    earlier = _earlier(value, depth, window)
+    centre = f"(({ucl} + {lcl}) / 2)"
+    distance = f"greatest(({ucl} - {centre}) * {share} / 3, 0D)"
 
-    def side(sign: int) -> Column:
+    def side(sign: str) -> str:
         def far(v):
-            return (v - centre) * sign > F.greatest(distance, F.lit(0.0))
+            return f"{sign}({v} - {centre}) > {distance}"
 
-        count = reduce(lambda a, b: a + b, [far(v).cast("int") for v in earlier])
-        return far(F.col(value)) & (count >= need)
+        count = " + ".join(f"int({far(v)})" for v in _earlier(value, depth))
+        return f"({far(value)} AND {count} >= {need})"
 
-    return side(1) | side(-1)
+    return F.expr(f"{side('')} OR {side('-')}")
 
 
-def two_of_three(value: str, ucl: str, lcl: str, window: WindowSpec) -> Column:
+def two_of_three(value: str, ucl: str, lcl: str) -> Column:
     """Rule 2: the point and one of the two before it beyond two thirds."""
-    return _beyond(value, ucl, lcl, 2, 1, 2, window)
+    return _beyond(value, ucl, lcl, share=2, need=1, depth=2)
 
 
-def four_of_five(value: str, ucl: str, lcl: str, window: WindowSpec) -> Column:
+def four_of_five(value: str, ucl: str, lcl: str) -> Column:
     """Rule 3: the point and three of the four before it beyond one third."""
-    return _beyond(value, ucl, lcl, 1, 3, 4, window)
+    return _beyond(value, ucl, lcl, share=1, need=3, depth=4)
 
 
-def six_in_a_row(value: str, window: WindowSpec, mode: str = "monotone") -> Column:
+def six_in_a_row(value: str, mode: str = "monotone") -> Column:
     """Rule 4: six points rising or falling.
 
     Mode "compat" compares the point with the oldest of the five, which then have to run the other way.
     """
-    earlier = _earlier(value, 5, window)
-    chain = [F.col(value), *(earlier if mode == "monotone" else reversed(earlier))]
-    pairs = list(zip(chain, chain[1:]))
-    return _all(a > b for a, b in pairs) | _all(a < b for a, b in pairs)
-
-
-def _measures():
-    """(points column, ucl, lcl) of the three measures a point may have."""
-    return {
-        "avg": ("avgvalue", "avgucl", "avglcl"),
-        "range": ("rangevalue", "rangeucl", "rangelcl"),
-        "stddev": ("stddevvalue", "stddevucl", "stddevlcl"),
-    }
+    earlier = _earlier(value, 5)
+    chain = [value, *(earlier if mode == "monotone" else reversed(earlier))]
+    rising, falling = (" AND ".join(f"{a} {sign} {b}" for a, b in zip(chain, chain[1:])) for sign in "><")
+    return F.expr(f"({rising}) OR ({falling})")
 
 
 def attach_limits(points: DataFrame, limits: DataFrame) -> DataFrame:
@@ -93,20 +92,28 @@ def flag_rules(
     A flag is NULL or false when the rule does not fire: too few earlier points, or a gap among them.
     """
     rules = sorted(rules)
-
-    def flags(window: WindowSpec) -> dict[str, Column]:
+    depth = max(DEPTH[rule] for rule in rules)
+    joined = attach_limits(points, limits)
+    flags, used = {}, []
+    for name, (value, ucl, lcl) in MEASURES.items():
+        used += _earlier(value, depth)
+        made = {
+            1: lambda: outside(value, ucl, lcl),
+            2: lambda: two_of_three(value, ucl, lcl),
+            3: lambda: four_of_five(value, ucl, lcl),
+            4: lambda: six_in_a_row(value, mode),
+        }
+        flags |= {f"{name}_{rule}": made[rule]() for rule in rules}
+    if depth == 0:
+        return joined.withColumns(flags)
+
+    def lags(window: WindowSpec) -> dict[str, Column]:
         found = {}
-        for name, (value, ucl, lcl) in _measures().items():
-            made = {
-                1: lambda: outside(value, ucl, lcl),
-                2: lambda: two_of_three(value, ucl, lcl, window),
-                3: lambda: four_of_five(value, ucl, lcl, window),
-                4: lambda: six_in_a_row(value, window, mode),
-            }
-            found |= {f"{name}_{rule}": made[rule]() for rule in rules}
+        for value, _, _ in MEASURES.values():
+            found |= earlier_values(value, depth, window)
         return found
 
-    return look_back(attach_limits(points, limits), KEY, POINT_ORDER, 5, flags, slots)
+    return look_back(joined, KEY, POINT_ORDER, depth, lags, slots).withColumns(flags).drop(*used)
 
 
 def judge(

@@ -30,7 +30,7 @@ def subgroup_stats(measurements: DataFrame) -> DataFrame:
         "mdate",
         "_readings",
         reading_sum(F.col("_readings")).alias("_row_sum"),
-        F.when(F.size("_readings") > 0, row_order(F.col("mdate"), F.col("id"))).alias("_order"),
+        F.when(F.size("_readings") > 0, row_order("mdate", "id")).alias("_order"),
     )
     # The outer explode keeps the parsing from being repeated in a filter on empty arrays.
     long = parsed.withColumn("value", F.explode_outer("_readings"))
@@ -74,7 +74,7 @@ def process_sheets(measurements: DataFrame) -> DataFrame:
 
     Reads the key, time and spec columns only.
     """
-    newest = row_order(F.col("mdate"), F.col("id")).alias("_order")
+    newest = row_order("mdate", "id").alias("_order")
     rows = measurements.select(*KEY, "id_no", "mdate", "lower", "upper", newest)
     return rows.groupBy(*KEY).agg(
         F.count_distinct("id_no").alias("sheets"),
