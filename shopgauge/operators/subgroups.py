@@ -18,11 +18,10 @@ def parse_readings(measurements: DataFrame) -> DataFrame:
     return parsed.filter(F.col("value").isNotNull())
 
 
-def subgroup_stats(measurements: DataFrame) -> DataFrame:
-    """Count, sum, extremes and population deviation of each sample, and the sum of its newest usable row.
+def _samples(measurements: DataFrame) -> DataFrame:
+    """Statistics of each sample; n = 0 and no others without a usable reading. The times are those of all rows.
 
-    Only usable readings count, so samples without any drop out; the times are those of all rows. All
-    buffers are numbers: the map tasks aggregate by hash, and the shuffle carries samples, not readings.
+    All buffers are numbers: the map tasks aggregate by hash, and the shuffle carries samples, not readings.
     """
     parsed = measurements.withColumn("_readings", readings(F.col("tdata"))).select(
         *KEY,
@@ -34,7 +33,7 @@ def subgroup_stats(measurements: DataFrame) -> DataFrame:
     )
     # The outer explode keeps the parsing from being repeated in a filter on empty arrays.
     long = parsed.withColumn("value", F.explode_outer("_readings"))
-    stats = long.groupBy(*KEY, *SUBGROUP).agg(
+    return long.groupBy(*KEY, *SUBGROUP).agg(
         F.count("value").cast("int").alias("n"),
         F.sum("value").alias("total"),
         F.min("value").alias("low"),
@@ -44,7 +43,15 @@ def subgroup_stats(measurements: DataFrame) -> DataFrame:
         F.min("mdate").alias("begin_mdate"),
         F.max("mdate").alias("mdate"),
     )
-    return stats.filter(F.col("n") > 0).withColumn("span", F.col("high") - F.col("low"))
+
+
+def _usable(samples: DataFrame) -> DataFrame:
+    return samples.filter(F.col("n") > 0).withColumn("span", F.col("high") - F.col("low"))
+
+
+def subgroup_stats(measurements: DataFrame) -> DataFrame:
+    """Count, sum, extremes and population deviation of each sample, and the sum of its newest usable row."""
+    return _usable(_samples(measurements))
 
 
 def sheet_stats(measurements: DataFrame) -> DataFrame:
@@ -53,20 +60,20 @@ def sheet_stats(measurements: DataFrame) -> DataFrame:
     The deviations of the cards are put together from their sums of squares about their own means.
     """
     n, total = F.sum("n"), F.sum("total")
+    size = F.nullif(F.col("n"), F.lit(0))
     within = F.sum(F.col("n") * F.col("deviation") * F.col("deviation"))
-    between = F.sum(F.col("total") * F.col("total") / F.col("n")) - total * total / n
-    merged = subgroup_stats(measurements).groupBy(*KEY, "id_no").agg(
+    between = F.sum(F.col("total") * F.col("total") / size) - total * total / F.nullif(n, F.lit(0))
+    pooled = F.sqrt((within + F.greatest(between, F.lit(0.0))) / F.nullif(n, F.lit(0)))
+    merged = _samples(measurements).groupBy(*KEY, "id_no").agg(
         F.min_by("rcard", F.struct("begin_mdate", "rcard")).alias("rcard"),
         F.min("begin_mdate").alias("mdate"),
         n.cast("int").alias("n"),
         total.alias("total"),
         F.min("low").alias("low"),
         F.max("high").alias("high"),
-        F.when(F.count(F.lit(1)) == 1, F.max("deviation"))
-        .otherwise(F.sqrt((within + F.greatest(between, F.lit(0.0))) / n))
-        .alias("deviation"),
+        F.when(F.count(size) == 1, F.max("deviation")).otherwise(pooled).alias("deviation"),
     )
-    return merged.withColumn("span", F.col("high") - F.col("low"))
+    return _usable(merged)
 
 
 def process_sheets(measurements: DataFrame) -> DataFrame:

@@ -14,9 +14,9 @@ from shopgauge.operators import lookups, periods, points, recheck, rules, slices
 from shopgauge.operators.keyed import pinned, ranked
 from shopgauge.plans import clean
 from shopgauge.plans.limits import patrols, recoded_limits, relocated_limits, scoped
-from shopgauge.schema import KEY
+from shopgauge.schema import KEY, MEASUREMENTS
 from shopgauge.sources import fixtures, store
-from shopgauge.sources.tables import load
+from shopgauge.sources.tables import load, typed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,6 +91,14 @@ def null_normalise(spark, folder):
     return events.select("event_id", null_text(raw).alias("props"))
 
 
+@query
+def typed_measurements(spark, folder):
+    """Measurements read back from a text table in which NULL is the word null."""
+    rows = fixtures.insp(spark, folder)
+    raw = rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("null")).alias(c) for c in rows.columns])
+    return typed(raw, MEASUREMENTS)
+
+
 @query
 def subgroup_stats(spark, folder):
     kept = _stats(spark, folder)
@@ -192,6 +200,11 @@ def limits_scoped(spark, folder):
     return lim.control_limits(rows, _time(RUN_TIME))
 
 
+@query
+def limits_export(spark, folder):
+    return store.as_text(_limits(spark, folder))
+
+
 @query
 def limits_recode(spark, folder):
     return recoded_limits(fixtures.bonding(spark, folder), _time(RUN_TIME))

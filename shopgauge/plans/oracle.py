@@ -210,6 +210,11 @@ add(
     ],
     "SELECT event_id, nullif(nullif(trim(p), 'null'), '') AS props FROM raw",
 )
+add(
+    "typed_measurements",
+    INSP,
+    f"SELECT id, {K}, id_no, rcard, mdate, lower, upper, tdata FROM insp",
+)
 add(
     "subgroup_stats",
     SAMPLES,
@@ -240,6 +245,12 @@ add(
     [*INSP, CONST_PART, *limit_parts("insp", force_n=1, require_spec=False)],
     f"SELECT {LIMIT_FIELDS} FROM limits",
 )
+_texts = ", ".join(f"coalesce(printf('%.3f', {c}), '') AS {c}" for c in ("usl", "lsl", *LIMIT_COLUMNS))
+add(
+    "limits_export",
+    ALL_LIMITS,
+    f"SELECT {K}, strftime(time, '%Y-%m-%d %H:%M:%S') AS time, CAST(pcs AS VARCHAR) AS pcs, {_texts} FROM limits",
+)
 add("limits_imr", ALL_LIMITS, f"SELECT {LIMIT_FIELDS} FROM limits WHERE pcs = 1")
 add("limits_xbar_r", ALL_LIMITS, f"SELECT {LIMIT_FIELDS} FROM limits WHERE pcs BETWEEN 2 AND 5")
 add("limits_xbar_s", ALL_LIMITS, f"SELECT {LIMIT_FIELDS} FROM limits WHERE pcs >= 6")

@@ -68,3 +68,16 @@ def apply_recheck(limits: DataFrame, decisions: DataFrame) -> DataFrame:
         c: F.when(F.col("action") == "update", F.col(f"_new_{c}")).otherwise(F.col(c)) for c in LIMIT_COLUMNS
     }
     return joined.withColumns(values).select(*limits.columns)
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    """All columns as text, the way result tables are exchanged: three decimals, seconds, empty for NULL."""
+    formats = {
+        "double": lambda c: F.format_string("%.3f", c),
+        "timestamp_ntz": lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss"),
+    }
+    texts = []
+    for name, kind in df.dtypes:
+        made = formats.get(kind, lambda c: c.cast("string"))(F.col(name))
+        texts.append(F.when(F.col(name).isNull(), F.lit("")).otherwise(made).alias(name))
+    return df.select(*texts)
