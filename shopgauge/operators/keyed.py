@@ -24,7 +24,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     """The last row of each key. An aggregate, so copies of a hot key shrink before the shuffle."""
     others = [c for c in df.columns if c not in keys]
     picked = df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("_row"))
-    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in others]).select(*df.columns)
+    return picked.select(*keys, "_row.*").select(*df.columns)
 
 
 def first_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str = "num") -> DataFrame:
@@ -56,6 +56,11 @@ def spread(df: DataFrame, keys: Sequence[str], order: Sequence[str], slots: int
     return pinned(ranged.withColumn(SLOT, F.spark_partition_id()))
 
 
+def _in_one_slot(rows: DataFrame) -> bool:
+    """Whether spread rows fill one partition only, so that no key can be split. Asks for no data."""
+    return rows.rdd.getNumPartitions() <= 1
+
+
 def _rows_of_split_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the keys that lie in several slots. Each slot border splits at most one key, which bounds the broadcast."""
     spans = rows.groupBy(*keys).agg(F.min(SLOT).alias("_first"), F.max(SLOT).alias("_last"))
@@ -77,6 +82,9 @@ def look_back(
     context and left out of the result, so values at its start are the same as without slots.
     """
     rows = spread(df, keys, order, slots)
+    window = W.partitionBy(*keys, SLOT).orderBy(*order)
+    if _in_one_slot(rows):
+        return rows.withColumns(add(window)).drop(SLOT)
     # The last rows of each slot are enough to know what comes before the next ones.
     ends = first_n(_rows_of_split_keys(rows, keys), [*keys, SLOT], [F.desc(c) for c in order], depth, "_end")
     chain = W.partitionBy(*keys).orderBy(*order)
@@ -89,7 +97,6 @@ def look_back(
         .drop("_end", "_following", "_target")
     )
     together = rows.withColumn(_CONTEXT, F.lit(False)).unionByName(context.withColumn(_CONTEXT, F.lit(True)))
-    window = W.partitionBy(*keys, SLOT).orderBy(*order)
     return together.withColumns(add(window)).filter(~F.col(_CONTEXT)).drop(SLOT, _CONTEXT)
 
 
@@ -111,10 +118,11 @@ def ranked(
     def way(columns):
         return [F.desc(c) if newest_first else F.asc(c) for c in columns]
 
+    numbered = rows.withColumn(name, F.row_number().over(W.partitionBy(*keys, SLOT).orderBy(*way(order))).cast("long"))
+    if _in_one_slot(rows):
+        return numbered.drop(SLOT)
     sizes = _rows_of_split_keys(rows, keys).groupBy(*keys, SLOT).agg(F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy(*keys).orderBy(*way([SLOT])).rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(*keys, SLOT, F.sum("_n").over(before).alias("_offset"))
-    numbered = rows.withColumn(name, F.row_number().over(W.partitionBy(*keys, SLOT).orderBy(*way(order))))
     moved = join_same(numbered, F.broadcast(offsets), [*keys, SLOT], "left")
-    number = (F.col(name) + F.coalesce("_offset", F.lit(0))).cast("long")
-    return moved.withColumn(name, number).drop(SLOT, "_offset")
+    return moved.withColumn(name, F.col(name) + F.coalesce("_offset", F.lit(0))).drop(SLOT, "_offset")
