@@ -6,12 +6,11 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from shopgauge.sources.shared import pinned
+
 SLOT = "_slot"
 _CONTEXT = "_context"
 
-# Only for local sessions without a checkpoint folder.
-LOCAL_CHECKPOINTS = "/tmp/shopgauge-checkpoints"
-
 
 def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on keys in which NULL equals NULL, keeping the key columns of the left side."""
@@ -33,17 +32,6 @@ def first_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
 
-def pinned(df: DataFrame) -> DataFrame:
-    """The rows written to the checkpoint folder: a short plan to read many times, and the same rows each time."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder or LOCAL_CHECKPOINTS)
-    return df.checkpoint()
-
-
 def spread(df: DataFrame, keys: Sequence[str], order: Sequence[str], slots: int | None = None) -> DataFrame:
     """Cut the rows, sorted by key and order, into even slots numbered in that order.
 

@@ -11,11 +11,12 @@ from shopgauge.functions.readings import null_text
 from shopgauge.operators import capability as cpk
 from shopgauge.operators import limits as lim
 from shopgauge.operators import lookups, periods, points, recheck, rules, slices, subgroups
-from shopgauge.operators.keyed import pinned, ranked
+from shopgauge.operators.keyed import ranked
 from shopgauge.plans import clean
 from shopgauge.plans.limits import patrols, recoded_limits, relocated_limits, scoped
 from shopgauge.schema import KEY, MEASUREMENTS
 from shopgauge.sources import fixtures, store
+from shopgauge.sources.shared import pinned, work_folder
 from shopgauge.sources.tables import load, typed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -335,7 +336,7 @@ def limits_delete(spark, folder):
 
 @query
 def sink_append(spark, folder):
-    path = store.work_folder(spark) + "/points"
+    path = work_folder(spark) + "/points"
     found = pinned(_points(spark, folder))
     store.append(found.filter(F.col("mdate") <= _time(MARK)), path)
     store.append(found.filter(F.col("mdate") > _time(MARK)), path)

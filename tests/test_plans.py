@@ -7,13 +7,12 @@ import pytest
 from frames import limits, measurements, points
 
 from shopgauge.operators.capability import capability
-from shopgauge.operators.keyed import pinned
 from shopgauge.operators.limits import control_limits
 from shopgauge.operators.lookups import map_workshop, recode_station
 from shopgauge.operators.points import chart_points
 from shopgauge.operators.rules import judge
 from shopgauge.operators.subgroups import subgroup_stats
-from shopgauge.sources import store
+from shopgauge.sources.shared import pinned, work_folder
 from shopgauge.sources.tables import load
 
 PACKAGE = Path(__file__).resolve().parent.parent / "shopgauge"
@@ -70,8 +69,8 @@ def test_named_view(spark):
 
 
 def test_work_folder_is_in_the_shared_place(spark):
-    assert store.work_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
-    assert store.work_folder(spark) != store.work_folder(spark)
+    assert work_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert work_folder(spark) != work_folder(spark)
 
 
 def test_no_row_leaves_spark_inside_the_package():
