@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shopgauge.operators.keyed import ranked
 from shopgauge.schema import MEASUREMENTS
-from shopgauge.sources.tables import load
+from shopgauge.sources.tables import dealt, load
 
 WORKSHOP_NAMES = [
     "生产一区", "生产二区", "生产三区", "生产四区", "生产五区", "生产六区", "生产七区", "生产九区", "NP区", "修复区",
@@ -59,7 +59,7 @@ def _line_id() -> Column:
 
 def insp_wide(spark: SparkSession, folder: str) -> DataFrame:
     """Measurements from line items: many processes over several years."""
-    lines = load(spark, folder, "lineitem")
+    lines = dealt(load(spark, folder, "lineitem"))
     parts = load(spark, folder, "part").select("p_partkey", "p_brand", "p_type")
     joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
     return joined.select(
@@ -96,7 +96,7 @@ def _bonding_station() -> Column:
 
 def bonding(spark: SparkSession, folder: str) -> DataFrame:
     """Measurements of bonding stations under their old codes, from line items."""
-    lines = load(spark, folder, "lineitem").withColumn("workshop_code", pick(BONDING_WORKSHOPS, F.col("l_suppkey")))
+    lines = dealt(load(spark, folder, "lineitem")).withColumn("workshop_code", pick(BONDING_WORKSHOPS, F.col("l_suppkey")))
     has_spec = F.col("l_partkey") % 5 != 0
     return lines.select(
         _line_id().alias("id"),
@@ -135,7 +135,7 @@ def inspection_sources(spark: SparkSession, folder: str) -> tuple[DataFrame, Dat
         F.lit("A").alias("eattribute1"),
         F.col("o_orderstatus").alias("result"),
     )
-    detail = load(spark, folder, "lineitem").select(
+    detail = dealt(load(spark, folder, "lineitem")).select(
         F.col("l_orderkey").alias("id_no"),
         pick(["偏心X", "Wire pull", "浮高Z", "holder shear", "其它"], F.col("l_linenumber")).alias("testitem"),
         F.lit(0.0).alias("lower"),
