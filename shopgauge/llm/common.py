@@ -6,9 +6,13 @@ import io
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopgauge.sources.shared import pinned, work_folder
 
@@ -41,3 +45,27 @@ def written(df: DataFrame) -> DataFrame:
     folder = work_folder(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def append(df: DataFrame, text: str, added: str, compute: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
+    """All columns of df and, computed from the text column batch by batch, the columns of the DDL `added`.
+
+    A column of df whose name is also added (whatever its case) is replaced.
+    """
+    new = T.StructType.fromDDL(added)
+    taken = {f.name.lower() for f in new}
+    rest = df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+    names = [*rest.columns, *new.names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = batch.columns[:-1]
+            yield pa.RecordBatch.from_arrays([*columns, *compute(batch.column(len(columns)))], names=names)
+
+    source = rest.select("*", F.col(f"`{text}`").cast("string").alias("_text_of_append"))
+    return source.mapInArrow(run, T.StructType([*rest.schema.fields, *new.fields]))
+
+
+def held_out(doc_id: str, parts: int, part: int) -> Column:
+    """Whether crc32 of the id as text falls in one part of `parts`. A NULL id is never held out."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(parts)) == part, F.lit(False))

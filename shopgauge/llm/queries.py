@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopgauge.llm import packing
-from shopgauge.llm.common import ship
+from shopgauge.llm import language, packing
+from shopgauge.llm.common import held_out, ship
 from shopgauge.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,13 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 ids."""
     return packing.packed(packing.pieces(load(spark, folder, "documents"), VOCABULARY))
+
+
+@_query
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    documents = load(spark, folder, "documents")
+    held = held_out("doc_id", 4, 2)
+    model = language.learn(documents.where(F.col("doc_id").isNotNull() & ~held))
+    found = language.identify(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
