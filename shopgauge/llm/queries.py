@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgauge.llm import language, packing
+from shopgauge.llm import language, packing, quality
 from shopgauge.llm.common import held_out, ship
 from shopgauge.sources.tables import load
 
@@ -39,3 +39,13 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     model = language.learn(documents.where(F.col("doc_id").isNotNull() & ~held))
     found = language.identify(documents.select("doc_id", "text"), model)
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from the labels of rows that are not held out."""
+    documents = load(spark, folder, "documents")
+    held = held_out("doc_id", 5, 0)
+    model = quality.learn(documents.where(~held), load(spark, folder, "labels").where(~held))
+    found = quality.score(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted")
