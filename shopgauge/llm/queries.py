@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgauge.llm import language, packing, quality
+from shopgauge.llm import decontaminate, language, packing, pages, quality
 from shopgauge.llm.common import held_out, ship
 from shopgauge.sources.tables import load
 
@@ -49,3 +49,15 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     model = quality.learn(documents.where(~held), load(spark, folder, "labels").where(~held))
     found = quality.score(documents.select("doc_id", "text"), model)
     return found.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+@_query
+def op7_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.extract(load(spark, folder, "pages").select("page_id", "url", "html"))
+
+
+@_query
+def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items in documents, up to a fifth of an item's words edited."""
+    return decontaminate.matches(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
