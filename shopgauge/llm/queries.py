@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgauge.llm import decontaminate, language, packing, pages, quality
+from shopgauge.llm import decontaminate, language, packing, pages, quality, topk
 from shopgauge.llm.common import held_out, ship
 from shopgauge.sources.tables import load
 
@@ -61,3 +61,10 @@ def op7_html(spark: SparkSession, folder: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items in documents, up to a fifth of an item's words edited."""
     return decontaminate.matches(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
+@_query
+def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best inner products for every hundredth vector."""
+    vectors = load(spark, folder, "embeddings").select("vec_id", topk.whole(F.col("embedding")).alias("vector"))
+    return topk.search(vectors, vectors.where("vec_id % 100 = 0"), k=10)
