@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgauge.llm import decontaminate, language, packing, pages, quality, topk
-from shopgauge.llm.common import held_out, ship
+from shopgauge.llm import decontaminate, language, packing, pages, quality, rollup, topk
+from shopgauge.llm.common import held_out, ship, written
+from shopgauge.sources.shared import work_folder
 from shopgauge.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +69,45 @@ def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The ten best inner products for every hundredth vector."""
     vectors = load(spark, folder, "embeddings").select("vec_id", topk.whole(F.col("embedding")).alias("vector"))
     return topk.search(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+@_query
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals after three batches: all documents come in, those labelled toxic go, those of low quality are counted by another version.
+
+    Every batch is sent twice.
+    """
+    text = F.col("text")
+    documents = load(spark, folder, "documents").select("doc_id", "source", "lang", rollup.word_count(text).alias("words"), F.ceil(F.coalesce(F.length(text), F.lit(0)) / 4).alias("quarters"))
+    documents = written(documents)
+    labels = load(spark, folder, "labels").select("doc_id", "toxic", "quality")
+    toxic = labels.where("toxic = 1").select("doc_id").distinct()
+    low = labels.where("quality = 0").select("doc_id").distinct().join(toxic, "doc_id", "left_anti")
+    words, quarters = F.col("words"), F.col("quarters")
+    store = rollup.TokenRollup(spark, work_folder(spark))
+    again = documents.join(low, "doc_id", "left_semi")
+    batches = {
+        "first": rollup.signed(rollup.counted(documents, "words-1", words), 1),
+        "withdrawn": rollup.signed(rollup.counted(documents.join(toxic, "doc_id", "left_semi"), "words-1", words), -1),
+        "counted anew": rollup.revised(rollup.counted(again, "words-1", words), rollup.counted(again, "quarters-1", quarters)),
+    }
+    for _ in range(2):
+        for name, changes in batches.items():
+            store.commit(name, changes)
+        store.compact()
+    return store.totals()
+
+
+ORACLES["op6_token_counts"] = r"""
+WITH counted AS (
+    SELECT doc_id, source, lang,
+        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS words,
+        coalesce(CAST(ceil(length(text) / 4.0) AS BIGINT), 0) AS quarters,
+        doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic,
+        doc_id IN (SELECT doc_id FROM labels WHERE quality = 0) AS low
+    FROM documents
+)
+SELECT source, lang, CASE WHEN low THEN 'quarters-1' ELSE 'words-1' END AS version,
+    count(*) AS n_docs, CAST(sum(CASE WHEN low THEN quarters ELSE words END) AS BIGINT) AS n_tokens
+FROM counted WHERE NOT toxic GROUP BY ALL
+"""
