@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopgauge.llm.common import kept
-from shopgauge.llm.tokens import Encoder
+from shopgauge.llm.tokens import shared_encoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -27,7 +27,7 @@ def pieces(documents: DataFrame, vocabulary: str, size: int = 2048, end_id: int
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = shared_encoder(vocabulary)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []

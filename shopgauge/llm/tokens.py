@@ -6,7 +6,9 @@ found here for many texts at once with NumPy; only words not seen before in the
 
 from __future__ import annotations
 
+import functools
 import os
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -60,6 +62,12 @@ def word_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return place[begin]
 
 
+@functools.lru_cache(maxsize=2)
+def shared_encoder(path: str) -> Encoder:
+    """The encoder of this process, with the words it has learned from earlier tasks."""
+    return Encoder(path)
+
+
 class Encoder:
     """Ids of texts as little-endian 32-bit numbers. `cache` bounds the words remembered per process."""
 
@@ -72,27 +80,36 @@ class Encoder:
         self.words: dict[bytes, bytes] = {}
         self.cache = cache
 
-    def _learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > self.cache:
-            self.words.clear()
-            new = list(words)
-        for word, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self.words[word] = np.array(e.ids, "<u4").tobytes()
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        found = list(map(self.words.get, words))
+        if None in found:
+            new = list({w for w, i in zip(words, found) if i is None})
+            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+            learned = {w: struct.pack(f"<{len(e.ids)}I", *e.ids) for w, e in zip(new, encoded)}
+            found = [learned[w] if i is None else i for w, i in zip(words, found)]
+            if len(self.words) + len(learned) > self.cache:
+                self.words.clear()
+            self.words.update(learned)
+        return found
 
     def encode(self, column: pa.Array) -> Iterator[bytes]:
         """For each text in order, its ids; NULL has none."""
         for _, data, offsets in hashing.blocks(column, 1 << 20):
             text = data.tobytes()
             cuts = word_cuts(data, offsets)
-            ends = [*cuts[1:].tolist(), len(text)]
-            words = [text[a:b] for a, b in zip(cuts.tolist(), ends)]
-            self._learn(set(words))
-            ids = list(map(self.words.__getitem__, words))
+            ends = np.append(cuts[1:], len(text))
+            # Only the different words of a block are looked up; a second hash makes sure that equal hashes are equal words.
+            hashes = hashing.word_hashes(data, cuts, ends)
+            _, pick, of = np.unique(hashes, return_index=True, return_inverse=True)
+            second = hashing.word_hashes(data, cuts, ends, 1)
+            if not np.array_equal(second[pick][of], second):
+                pick = of = np.arange(len(cuts))
+            ids = self._ids([text[a:b] for a, b in zip(cuts[pick].tolist(), ends[pick].tolist())])
+            of = of.tolist()
             border = np.searchsorted(cuts, offsets).tolist()
             for k in range(len(offsets) - 1):
                 whole = text[offsets[k] : offsets[k + 1]]
                 if any(s in whole for s in self.special):
                     yield np.array(self.tokenizer.encode(whole.decode(), add_special_tokens=False).ids, "<u4").tobytes()
                 else:
-                    yield b"".join(ids[border[k] : border[k + 1]])
+                    yield b"".join([ids[i] for i in of[border[k] : border[k + 1]]])
