@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import tempfile
@@ -47,8 +48,8 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def append(df: DataFrame, text: str, added: str, compute: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
-    """All columns of df and, computed from the text column batch by batch, the columns of the DDL `added`.
+def append(df: DataFrame, text: str | Column, added: str, compute: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
+    """All columns of df and, computed from a text column (or another expression) batch by batch, the columns of the DDL `added`.
 
     A column of df whose name is also added (whatever its case) is replaced.
     """
@@ -62,10 +63,18 @@ def append(df: DataFrame, text: str, added: str, compute: Callable[[pa.Array], l
             columns = batch.columns[:-1]
             yield pa.RecordBatch.from_arrays([*columns, *compute(batch.column(len(columns)))], names=names)
 
-    source = rest.select("*", F.col(f"`{text}`").cast("string").alias("_text_of_append"))
+    value = F.col(f"`{text}`").cast("string") if isinstance(text, str) else text
+    # Chosen together, since the text may have the name of a column that is replaced.
+    source = df.select(*[F.col(f"`{c}`") for c in rest.columns], value.alias("_text_of_append"))
     return source.mapInArrow(run, T.StructType([*rest.schema.fields, *new.fields]))
 
 
 def held_out(doc_id: str, parts: int, part: int) -> Column:
     """Whether crc32 of the id as text falls in one part of `parts`. A NULL id is never held out."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(parts)) == part, F.lit(False))
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of finished steps now: it does so once the driver's collector finds their frames gone."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgauge.llm import decontaminate, language, packing, pages, quality, rollup, topk
+from shopgauge.llm import anchors, decontaminate, language, packing, pages, quality, rollup, topk
 from shopgauge.llm.common import held_out, ship, written
 from shopgauge.sources.shared import work_folder
 from shopgauge.sources.tables import load
@@ -111,3 +111,10 @@ SELECT source, lang, CASE WHEN low THEN 'quarters-1' ELSE 'words-1' END AS versi
     count(*) AS n_docs, CAST(sum(CASE WHEN low THEN quarters ELSE words END) AS BIGINT) AS n_tokens
 FROM counted WHERE NOT toxic GROUP BY ALL
 """
+
+
+@_query
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the words of 50-word runs that an earlier document has."""
+    documents = load(spark, folder, "documents").select("doc_id", "text")
+    return anchors.digest(anchors.strip(documents, anchors.repeats(documents)))
