@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopgauge.llm import hashing
+from shopgauge.llm.common import append
 
 _LUT: list[np.ndarray] = []
 MATCHES = "doc_id long, item_id long, distance long, item_words long, start_word long, end_word long"
@@ -191,3 +192,20 @@ def matches(documents: DataFrame, benchmark: DataFrame, rate: float = 0.2, block
 
     passes = [one_pass(b) for b in _blocks(benchmark, block_items, size)]
     return reduce(DataFrame.unionAll, passes) if passes else one_pass([])
+
+
+def clean(documents: DataFrame, benchmark: DataFrame, rate: float = 0.2, block_items: int = 5000, size: int = 4_000_000) -> DataFrame:
+    """The rows of documents in which no item is found, with all their columns; found as by `matches`, without a join."""
+    context = documents.sparkSession.sparkContext
+    left = documents
+    for block in _blocks(benchmark, block_items, size):
+        shared = context.broadcast(Index.of(block, rate))
+
+        def found(column: pa.Array, shared=shared) -> list[pa.Array]:
+            out = np.zeros(len(column), bool)
+            for row, data, offsets in hashing.blocks(column, 1 << 19):
+                out[[row + m[0] for m in shared.value.matches(*words(data, offsets))]] = True
+            return [pa.array(out)]
+
+        left = append(left, "text", "_has_item boolean", found).where("not _has_item").drop("_has_item")
+    return left
