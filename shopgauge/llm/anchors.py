@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopgauge.llm import hashing
-from shopgauge.llm.common import append, kept, release
+from shopgauge.llm.common import append, discard, release, written
 
 PERIOD = 31
 #: The differences of these six numbers are all numbers modulo 31 (a perfect difference set).
@@ -87,26 +87,37 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _copies(texts: DataFrame) -> DataFrame:
     """Documents whose words are all those of a document with a smaller id."""
-    whole = kept(texts.mapInArrow(_whole, "one long, two long, doc_id long, words long"))
+    whole = written(texts.mapInArrow(_whole, "one long, two long, doc_id long, words long"))
     first = whole.groupBy("one", "two", "words").agg(F.min("doc_id").alias("_first"))
-    return kept(whole.join(first, ["one", "two", "words"]).where("doc_id > _first").select("doc_id").distinct())
+    found = written(whole.join(first, ["one", "two", "words"]).where("doc_id > _first").select("doc_id").distinct())
+    discard(whole)
+    return found
 
 
-def _shared_anchors(texts: DataFrame, length: int) -> DataFrame:
+def _shared_anchors(texts: DataFrame, copies: DataFrame, length: int) -> DataFrame:
     """Places of the anchors that another document has too, by document."""
     anchors = texts.mapInArrow(_anchors(length), "anchor long, doc_id long, place int")
-    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")).where("_low < _high")
-    found = anchors.join(shared.select("anchor"), "anchor", "left_semi")
-    return kept(found.groupBy("doc_id").agg(F.collect_set("place").alias("places")))
+    groups = anchors.groupBy("anchor").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high"))
+    shared = written(groups.where("_low < _high").select("anchor"))
+    release(texts.sparkSession)
+    found = anchors.join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("place").alias("places"))
+    places = written(found.join(copies, "doc_id", "left_anti"))
+    discard(shared)
+    return places
 
 
 def _repeats(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
     """Where in each document a run starts that also starts in a document with a smaller id."""
     near = texts.join(places, "doc_id").select("doc_id", "text", "places")
-    runs = kept(near.mapInArrow(_full_runs(length), "one long, two long, doc_id long, place int"))
-    first = runs.groupBy("one", "two").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")).where("_low < _high")
-    found = runs.join(first.drop("_high"), ["one", "two"]).where("doc_id > _low")
-    return kept(found.groupBy("doc_id").agg(F.collect_set("place").alias("starts")))
+    runs = written(near.mapInArrow(_full_runs(length), "one long, two long, doc_id long, place int"))
+    release(texts.sparkSession)
+    groups = runs.groupBy("one", "two").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high"))
+    first = written(groups.where("_low < _high").drop("_high"))
+    release(texts.sparkSession)
+    found = runs.join(first, ["one", "two"]).where("doc_id > _low")
+    starts = written(found.groupBy("doc_id").agg(F.collect_set("place").alias("starts")))
+    discard(runs, first)
+    return starts
 
 
 def repeats(documents: DataFrame, length: int = 50) -> DataFrame:
@@ -120,9 +131,10 @@ def repeats(documents: DataFrame, length: int = 50) -> DataFrame:
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null and text is not null")
     copies = _copies(texts)
     release(spark)
-    places = _shared_anchors(texts, length).join(copies, "doc_id", "left_anti")
+    places = _shared_anchors(texts, copies, length)
     release(spark)
     starts = _repeats(texts, places, length)
+    discard(places)
     release(spark)
     return starts.select("doc_id", F.lit(False).alias("copy"), "starts").unionByName(
         copies.select("doc_id", F.lit(True).alias("copy"), F.lit(None).cast("array<int>").alias("starts"))

@@ -45,7 +45,16 @@ def written(df: DataFrame) -> DataFrame:
     """The rows written as Parquet to a new shared folder and read again: compressed, with columns that can be pruned."""
     folder = work_folder(df.sparkSession)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    table = df.sparkSession.read.schema(df.schema).parquet(folder)
+    table._written_folder = folder
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by `written` that no frame in use reads any more."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._written_folder)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def append(df: DataFrame, text: str | Column, added: str, compute: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:

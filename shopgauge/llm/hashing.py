@@ -61,7 +61,7 @@ def _spans(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) ->
     return mix((prefix[end] - prefix[start]) * powers(inverse, len(prefix))[start])
 
 
-def blocks(column: pa.Array, size: int = 1 << 21) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def blocks(column: pa.Array, size: int = 1 << 19) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) for runs of rows of about `size` bytes; a longer text is a run of its own. NULL is empty."""
     column = column.fill_null("").cast(pa.large_binary()) if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else column.cast(pa.large_binary()).fill_null(b"")
     if not len(column):
