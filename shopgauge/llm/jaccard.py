@@ -16,10 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopgauge.llm import hashing
-from shopgauge.llm.common import kept, release, written
+from shopgauge.llm.common import discard, kept, release, written
 from shopgauge.llm.components import components
 
 _DOOR = 22
+_BUCKETS = 256
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -82,7 +83,7 @@ def frequent_tokens(texts: DataFrame, n: int, least: int, most: int) -> np.ndarr
 def _prefixes(n: int, share: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, one, two, prefixes = [], [], [], []
+            sizes, one, two, prefixes, sketches = [], [], [], [], []
             for tokens in shingle_sets(batch.column(1), n):
                 size = len(tokens)
                 late = shared.value.has(tokens)
@@ -90,15 +91,37 @@ def _prefixes(n: int, share: int, shared):
                 rare = tokens[~late]
                 prefixes.append(rare[:keep] if len(rare) >= keep else np.concatenate([rare, tokens[late][: keep - len(rare)]]))
                 sizes.append(size)
+                sketches.append(np.minimum(255, np.bincount(tokens.view(np.uint64) & np.uint64(_BUCKETS - 1), minlength=_BUCKETS)).astype(np.uint8).tobytes())
                 mixed = tokens.view(np.uint64)
                 one.append(int(hashing.mix(mixed + np.uint64(1)).sum(dtype=np.uint64).view(np.int64)) if size else 0)
                 two.append(int(hashing.mix(mixed ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).view(np.int64)) if size else 0)
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), _lists(prefixes)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "size", "one", "two", "prefix"])
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), _lists(prefixes), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "size", "one", "two", "prefix", "sketch"])
 
     return run
 
 
+def may_link(sizes: np.ndarray, sketches: np.ndarray, share: int) -> np.ndarray:
+    """Which sets may be similar to another one of these, by their counts of tokens in buckets.
+
+    The overlap of two sets is at most the sum of the smaller count of every bucket. A count of 255 stands for any number.
+    """
+    out = np.zeros(len(sizes), bool)
+    counts = sketches.astype(np.int32)
+    counts[sketches == 255] = 1 << 20
+    for i in range(len(sizes)):
+        for low in range(0, len(sizes), 128):
+            bound = np.minimum(counts[low : low + 128], counts[i]).sum(1)
+            bound = np.minimum(bound, np.minimum(sizes[low : low + 128], sizes[i]))
+            near = bound * (100 + share) >= share * (sizes[low : low + 128] + sizes[i])
+            if low <= i < low + 128:
+                near[i - low] = False
+            if near.any():
+                out[i] = True
+                break
+    return out
+
+
 class _Node:
     __slots__ = ("children", "docs", "largest", "least_size", "most_size", "path")
 
@@ -227,6 +250,19 @@ def _stars(texts: DataFrame, members: DataFrame, n: int, share: int) -> DataFram
     return found.groupBy("block", "part").applyInArrow(walk, "a long, b long")
 
 
+def _screened(members: DataFrame, sketches: DataFrame, share: int) -> DataFrame:
+    """The members of uncut blocks that may be similar to another member of their block, and all members of blocks that are cut."""
+
+    def screen(table: pa.Table) -> pa.Table:
+        sizes = table["size"].to_numpy()
+        body = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(sizes), _BUCKETS)
+        return table.filter(pa.array(may_link(sizes, body, share))).drop_columns(["sketch"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.schema)
+    whole = members.where("parts = 1").join(sketches, "doc_id").select(*members.columns, "sketch")
+    return whole.groupBy("block").applyInArrow(screen, kinds).unionByName(members.where("parts > 1"))
+
+
 def _residue(texts: DataFrame, members: DataFrame, found: DataFrame, n: int, share: int, tokens: int) -> DataFrame:
     """Edges between parts of blocks that were too large for one task.
 
@@ -256,23 +292,31 @@ def link(documents: DataFrame, n: int = 5, share: int = 75, frequent: int = 100_
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     shared = spark.sparkContext.broadcast(Frequent(frequent_tokens(texts, n, 8, frequent)))
     release(spark)
-    rows = written(texts.mapInArrow(_prefixes(n, share, shared), "doc_id long, size long, one long, two long, prefix array<long>"))
+    rows = written(texts.mapInArrow(_prefixes(n, share, shared), "doc_id long, size long, one long, two long, prefix array<long>, sketch binary"))
     sets = rows.where("doc_id is not null and size > 0")
-    classes = kept(sets.groupBy("size", "one", "two").agg(F.min("doc_id").alias("first")))
-    firsts = classes.select(F.col("first").alias("doc_id")).distinct()
-    tokens = sets.select("doc_id", "size", "prefix").join(firsts, "doc_id", "left_semi").select("doc_id", "size", F.explode("prefix").alias("token"))
-    leaders = tokens.groupBy("token").agg(F.min("doc_id").alias("block"), F.max("doc_id").alias("_last")).where("block < _last").drop("_last")
-    blocks = kept(tokens.join(leaders, "token").select("block", "doc_id", "size").distinct())
+    classes = written(sets.groupBy("size", "one", "two").agg(F.min("doc_id").alias("first")))
+    firsts = classes.select(F.col("first").alias("doc_id"), "size").distinct()
+    tokens = sets.select("doc_id", F.explode("prefix").alias("token"))
+    groups = tokens.groupBy("token").agg(F.min("doc_id").alias("block"), F.max("doc_id").alias("_last"))
+    leaders = written(groups.where("block < _last").drop("_last"))
+    release(spark)
+    places = tokens.join(leaders, "token").select("block", "doc_id").distinct()
+    # A document has the prefix tokens of its copies, so the smallest of a block is never a copy of a smaller one.
+    blocks = written(places.join(firsts, "doc_id"))
+    discard(leaders)
     release(spark)
     cut = blocks.groupBy("block").agg(F.greatest(F.lit(1), F.ceil(F.sum("size") / block_tokens)).cast("long").alias("parts"))
-    members = kept(blocks.join(cut, "block").withColumn("part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("doc_id"), F.col("parts"))).otherwise(F.lit(0).cast("long"))))
+    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("doc_id"), F.col("parts"))).otherwise(F.lit(0).cast("long"))
+    sketches = sets.select("doc_id", "sketch").dropDuplicates(["doc_id"])
+    members = written(_screened(blocks.join(cut, "block").withColumn("part", part), sketches, share))
+    discard(blocks)
     release(spark)
-    edges = kept(_stars(texts, members.select("doc_id", "block", "part", F.col("doc_id").alias("known")), n, share))
+    edges = written(_stars(texts, members.select("doc_id", "block", "part", F.col("doc_id").alias("known")), n, share))
     release(spark)
     found = kept(components(edges))
     large = members.where("parts > 1")
     if not large.isEmpty():
-        more = kept(_residue(texts, large, found, n, share, block_tokens))
+        more = written(_residue(texts, large, found, n, share, block_tokens))
         found = kept(components(edges.unionByName(more)))
     release(spark)
     known = classes.join(found.withColumnRenamed("node", "first"), "first", "left").select("size", "one", "two", F.coalesce("component", "first").alias("component"))
