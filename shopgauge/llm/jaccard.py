@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shopgauge.llm import hashing
@@ -20,7 +21,6 @@ from shopgauge.llm.common import discard, kept, release, written
 from shopgauge.llm.components import components
 
 _DOOR = 22
-_BUCKETS = 256
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -91,7 +91,7 @@ def _prefixes(n: int, share: int, shared):
                 rare = tokens[~late]
                 prefixes.append(rare[:keep] if len(rare) >= keep else np.concatenate([rare, tokens[late][: keep - len(rare)]]))
                 sizes.append(size)
-                sketches.append(np.minimum(255, np.bincount(tokens.view(np.uint64) & np.uint64(_BUCKETS - 1), minlength=_BUCKETS)).astype(np.uint8).tobytes())
+                sketches.append(sketch(tokens))
                 mixed = tokens.view(np.uint64)
                 one.append(int(hashing.mix(mixed + np.uint64(1)).sum(dtype=np.uint64).view(np.int64)) if size else 0)
                 two.append(int(hashing.mix(mixed ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).view(np.int64)) if size else 0)
@@ -101,24 +101,42 @@ def _prefixes(n: int, share: int, shared):
     return run
 
 
-def may_link(sizes: np.ndarray, sketches: np.ndarray, share: int) -> np.ndarray:
-    """Which sets may be similar to another one of these, by their counts of tokens in buckets.
+def sketch(tokens: np.ndarray) -> bytes:
+    """Counts of tokens in buckets, about as many buckets as tokens, 256 at least and a power of two. 255 stands for any number."""
+    buckets = max(256, 1 << max(0, len(tokens) // 2 - 1).bit_length())
+    return np.minimum(255, np.bincount(tokens.view(np.uint64) & np.uint64(buckets - 1), minlength=buckets)).astype(np.uint8).tobytes()
 
-    The overlap of two sets is at most the sum of the smaller count of every bucket. A count of 255 stands for any number.
+
+def may_link(sizes: np.ndarray, sketches: list[bytes], share: int) -> np.ndarray:
+    """Which sets may be similar to another one of these, by their sizes and bucket counts.
+
+    The overlap of two sets is at most the sum of the smaller count of every bucket, the finer sketch folded to the coarser.
     """
     out = np.zeros(len(sizes), bool)
-    counts = sketches.astype(np.int32)
-    counts[sketches == 255] = 1 << 20
-    for i in range(len(sizes)):
-        for low in range(0, len(sizes), 128):
-            bound = np.minimum(counts[low : low + 128], counts[i]).sum(1)
-            bound = np.minimum(bound, np.minimum(sizes[low : low + 128], sizes[i]))
-            near = bound * (100 + share) >= share * (sizes[low : low + 128] + sizes[i])
-            if low <= i < low + 128:
-                near[i - low] = False
+    order = np.argsort(sizes, kind="stable")
+    ranked = sizes[order]
+    widths = np.array([len(sketches[k]) for k in order])
+    tables = {}
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths >= width)
+        table = np.zeros((len(rows), width), np.int32)
+        for r, k in enumerate(rows):
+            counts = np.frombuffer(sketches[order[k]], np.uint8).astype(np.int32)
+            counts[counts == 255] = 1 << 16
+            table[r] = counts.reshape(-1, width).sum(0)
+        tables[width] = rows, table
+    for k in range(len(order)):
+        # Sizes rise, so each pair is met once, from its smaller side, and the widths of later sets are not below.
+        rows, table = tables[int(widths[k])]
+        at = int(np.searchsorted(rows, k))
+        end = int(np.searchsorted(rows, np.searchsorted(ranked, 100 * ranked[k] // share, "right")))
+        for low in range(at + 1, end, 128):
+            high = min(low + 128, end)
+            bound = np.minimum(np.minimum(table[low:high], table[at]).sum(1), ranked[k])
+            near = bound * (100 + share) >= share * (ranked[rows[low:high]] + ranked[k])
             if near.any():
-                out[i] = True
-                break
+                out[order[k]] = True
+                out[order[rows[low:high][near]]] = True
     return out
 
 
@@ -254,12 +272,13 @@ def _screened(members: DataFrame, sketches: DataFrame, share: int) -> DataFrame:
     """The members of uncut blocks that may be similar to another member of their block, and all members of blocks that are cut."""
 
     def screen(table: pa.Table) -> pa.Table:
-        sizes = table["size"].to_numpy()
-        body = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(sizes), _BUCKETS)
-        return table.filter(pa.array(may_link(sizes, body, share))).drop_columns(["sketch"])
+        return table.filter(pa.array(may_link(table["size"].to_numpy(), table["sketch"].to_pylist(), share))).drop_columns(["sketch"])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.schema)
-    whole = members.where("parts = 1").join(sketches, "doc_id").select(*members.columns, "sketch")
+    by_size = W.partitionBy("block").orderBy("size")
+    near = members.where("parts = 1").withColumn("_below", F.lag("size").over(by_size)).withColumn("_above", F.lead("size").over(by_size))
+    near = near.where((F.col("_below") * 100 >= F.col("size") * share) | (F.col("size") * 100 >= F.col("_above") * share))
+    whole = near.select(*members.columns).join(sketches, "doc_id").select(*members.columns, "sketch")
     return whole.groupBy("block").applyInArrow(screen, kinds).unionByName(members.where("parts > 1"))
 
 
