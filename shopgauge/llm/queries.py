@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgauge.llm import anchors, decontaminate, jaccard, language, packing, pages, quality, rollup, topk
+from shopgauge.llm import anchors, decontaminate, jaccard, language, packing, pages, quality, rollup, suffixes, topk
 from shopgauge.llm.common import held_out, ship, written
 from shopgauge.sources.shared import work_folder
 from shopgauge.sources.tables import load
@@ -124,3 +124,10 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents linked by the Jaccard similarity of their 5-word shingles."""
     return jaccard.link(load(spark, folder, "documents").select("doc_id", "text"))
+
+
+@_query
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the bytes of 50-byte strings that an earlier document has."""
+    documents = load(spark, folder, "documents").select("doc_id", "text")
+    return suffixes.digest(suffixes.strip(documents, suffixes.repeats(documents)))

@@ -1,0 +1,99 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from shopgauge.llm import suffixes
+
+SCHEMA = "doc_id long, text string, kept int, n_spans string"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 3), max_size=120))
+def test_suffix_array(values):
+    got = suffixes.suffix_array(np.array(values, np.int64), 10**9).tolist()
+    assert got == sorted(range(len(values)), key=lambda i: values[i:])
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 2), max_size=300), st.integers(1, 60))
+def test_suffix_array_to_a_depth(values, depth):
+    got = suffixes.suffix_array(np.array(values, np.int64), depth).tolist()
+    assert sorted(got) == list(range(len(values)))
+    parts = [values[i : i + depth] for i in got]
+    assert parts == sorted(parts)
+
+
+@given(st.lists(st.text("ab\0", max_size=40), min_size=1, max_size=8))
+def test_smallest(texts):
+    bodies = [t.encode() for t in texts]
+    lows = np.arange(len(bodies))[::-1].copy()
+    for got, body in zip(suffixes.smallest(bodies, lows, 5), bodies):
+        want = [min(int(low) for low, b in zip(lows, bodies) if body[i : i + 5] in b) for i in range(len(body) - 4)]
+        assert got.tolist() == want
+
+
+def brute(docs, length=50):
+    first = {}
+    for i, t in docs:
+        b = (t or "").encode()
+        for k in range(len(b) - length + 1):
+            if i is not None:
+                first[b[k : k + length]] = min(i, first.get(b[k : k + length], i))
+    out = []
+    for i, t in docs:
+        b = (t or "").encode()
+        gone = np.zeros(len(b) + 1, int)
+        for k in range(len(b) - length + 1):
+            if i is not None and first[b[k : k + length]] < i:
+                gone[k] += 1
+                gone[k + length] -= 1
+        away = np.cumsum(gone[:-1]) > 0
+        spans = int((np.diff(np.concatenate([[0], away.astype(int)])) == 1).sum())
+        left = bytes(x for x, a in zip(b, away) if not a)
+        out.append((i if i is not None else -1, len(b), int(away.sum()), spans, hashlib.sha256(left).hexdigest()))
+    return sorted(out)
+
+
+def run(spark, docs, **more):
+    frame = spark.createDataFrame([(*d, 1, "x") for d in docs], SCHEMA)
+    rows = suffixes.digest(suffixes.strip(frame, suffixes.repeats(frame, **more))).collect()
+    return sorted((r.doc_id if r.doc_id is not None else -1, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows)
+
+
+@pytest.mark.parametrize("more", [{}, {"hot": 5, "bucket_bytes": 3000}])
+def test_against_every_string(spark, more):
+    rng = random.Random(9)
+    vocabulary = ["the", "of", "and", "é", "größe", "in", "that", "日本", "x"]
+    passages = [" ".join(rng.choices(vocabulary, k=rng.randint(12, 60))) for _ in range(6)]
+    docs = []
+    for _ in range(150):
+        text = " ".join(f"{rng.choice(vocabulary)}{rng.randint(0, 99)}" for _ in range(rng.randint(0, 80)))
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randint(0, len(text))
+            text = text[:at] + rng.choice(passages)[rng.randint(0, 9) :] + text[at:]
+        if docs and rng.random() < 0.3:
+            text = rng.choice(docs)[1]
+            at = rng.randint(0, len(text))
+            text = text[:at] + rng.choice(["", "!", "new words"]) + text[at:]
+        docs.append((rng.randint(0, 10**6), text))
+    docs = list(dict(docs).items())
+    docs += [(2_000_000, None), (2_000_001, ""), (2_000_002, "a" * 700), (2_000_003, "a" * 49), (2_000_004, "ab" * 400), (2_000_005, "b" + "ab" * 300)]
+    docs += [(None, docs[0][1]), (None, None), *docs[:2]]
+    assert run(spark, docs, **more) == brute(docs)
+
+
+def test_empty_table(spark):
+    assert run(spark, []) == []
+
+
+def test_query(spark):
+    from shopgauge.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    got = sorted(tuple(r) for r in QUERIES["op5_suffix_dedup"](spark, folder).collect())
+    assert got == brute(docs)
