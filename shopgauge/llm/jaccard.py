@@ -13,7 +13,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shopgauge.llm import hashing
@@ -107,6 +106,23 @@ def sketch(tokens: np.ndarray) -> bytes:
     return np.minimum(255, np.bincount(tokens.view(np.uint64) & np.uint64(buckets - 1), minlength=buckets)).astype(np.uint8).tobytes()
 
 
+def may_share(sizes: np.ndarray, places: np.ndarray, share: int) -> np.ndarray:
+    """Which sets may be similar to another one of these, by size and by the earliest place, in its own order, of a token that a set shares.
+
+    Tokens before that place are shared with none, so the overlap is at most what comes from there on.
+    """
+    out = np.zeros(len(sizes), bool)
+    order = np.argsort(sizes, kind="stable")
+    ranked, left = sizes[order], (sizes - places)[order]
+    for k in range(len(order)):
+        end = int(np.searchsorted(ranked, 100 * ranked[k] // share, "right"))
+        near = np.minimum(left[k + 1 : end], left[k]) * (100 + share) >= share * (ranked[k + 1 : end] + ranked[k])
+        if near.any():
+            out[order[k]] = True
+            out[order[k + 1 : end][near]] = True
+    return out
+
+
 def may_link(sizes: np.ndarray, sketches: list[bytes], share: int) -> np.ndarray:
     """Which sets may be similar to another one of these, by their sizes and bucket counts.
 
@@ -274,11 +290,12 @@ def _screened(members: DataFrame, sketches: DataFrame, share: int) -> DataFrame:
     def screen(table: pa.Table) -> pa.Table:
         return table.filter(pa.array(may_link(table["size"].to_numpy(), table["sketch"].to_pylist(), share))).drop_columns(["sketch"])
 
+    def places(table: pa.Table) -> pa.Table:
+        return table.filter(pa.array(may_share(table["size"].to_numpy(), table["place"].to_numpy(), share)))
+
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.schema)
-    by_size = W.partitionBy("block").orderBy("size")
-    near = members.where("parts = 1").withColumn("_below", F.lag("size").over(by_size)).withColumn("_above", F.lead("size").over(by_size))
-    near = near.where((F.col("_below") * 100 >= F.col("size") * share) | (F.col("size") * 100 >= F.col("_above") * share))
-    whole = near.select(*members.columns).join(sketches, "doc_id").select(*members.columns, "sketch")
+    near = members.where("parts = 1").groupBy("block").applyInArrow(places, kinds)
+    whole = near.join(sketches, "doc_id").select(*members.columns, "sketch")
     return whole.groupBy("block").applyInArrow(screen, kinds).unionByName(members.where("parts > 1"))
 
 
@@ -315,11 +332,11 @@ def link(documents: DataFrame, n: int = 5, share: int = 75, frequent: int = 100_
     sets = rows.where("doc_id is not null and size > 0")
     classes = written(sets.groupBy("size", "one", "two").agg(F.min("doc_id").alias("first")))
     firsts = classes.select(F.col("first").alias("doc_id"), "size").distinct()
-    tokens = sets.select("doc_id", F.explode("prefix").alias("token"))
+    tokens = sets.select("doc_id", F.posexplode("prefix").alias("place", "token"))
     groups = tokens.groupBy("token").agg(F.min("doc_id").alias("block"), F.max("doc_id").alias("_last"))
     leaders = written(groups.where("block < _last").drop("_last"))
     release(spark)
-    places = tokens.join(leaders, "token").select("block", "doc_id").distinct()
+    places = tokens.join(leaders, "token").groupBy("block", "doc_id").agg(F.min("place").alias("place"))
     # A document has the prefix tokens of its copies, so the smallest of a block is never a copy of a smaller one.
     blocks = written(places.join(firsts, "doc_id"))
     discard(leaders)

@@ -93,6 +93,16 @@ def test_screen_keeps_every_similar_set():
             assert all(i == j or 100 * len(np.intersect1d(a, b)) < 75 * len(np.union1d(a, b)) for j, b in enumerate(sets))
 
 
+def test_places_keep_every_similar_set():
+    rng = np.random.default_rng(3)
+    sets = [np.sort(rng.choice(80, rng.integers(1, 40), replace=False)) for _ in range(80)]
+    first = [min((int(np.isin(a, b).argmax()) for j, b in enumerate(sets) if j != i and np.isin(a, b).any()), default=10**6) for i, a in enumerate(sets)]
+    got = jaccard.may_share(np.array([len(s) for s in sets]), np.array(first), 75)
+    for i, a in enumerate(sets):
+        if not got[i]:
+            assert all(i == j or 100 * len(np.intersect1d(a, b)) < 75 * len(np.union1d(a, b)) for j, b in enumerate(sets))
+
+
 def test_chain_across_parts(spark):
     base = [f"w{i}" for i in range(100)]
     docs = []
