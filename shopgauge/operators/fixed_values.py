@@ -129,72 +129,9 @@ SECOND_SOURCE_PLANTS = {
     "古城试产二区": "古城厂",
 }
 
-# Bonding stations by workshop, (plant or None for any, new code prefix,
-# new line number -> old station numbers in the order of their new positions).
-STATION_LINES = {
-    "生产一区": ("TC1", None, None),
-    "生产二区": ("TC2", None, None),
-    "生产三区": (
-        "TC3",
-        None,
-        {
-            1: [1, 2, 3, 4, 5, 6],
-            2: [7, 8, 9, 10, 11, 12],
-            3: [13, 15, 16, 17, 18, 19, 20],
-            4: [41, 40, 39, 38, 37, 44, 43],
-            5: [45, 46, 47, 48, 49, 50],
-            6: [29, 30, 31, 32, 33, 34, 35],
-            7: [52, 53, 54, 55, 56, 57],
-        },
-    ),
-    "生产六区": ("TC6", None, {1: 8, 2: 8, 3: 8, 4: 8, 5: 7}),
-    "生产七区": ("TC7", None, {1: 7, 2: 7, 3: 7, 4: 8, 5: 8, 6: 8, 7: 8, 8: 8, 9: 8, 10: 8}),
-    "生产四区": ("HC4", "汉浦厂", None),
-    "古城COB一区": (
-        "GC1",
-        "古城厂",
-        {
-            1: 8, 2: 8, 3: 8, 4: 6, 5: 6, 6: 6, 7: 6, 8: 6, 9: 6, 10: 6,
-            11: 6, 12: 6, 13: 8, 14: 8, 15: 6, 16: 8, 17: 6, 18: 6, 19: 6,
-        },
-    ),
-}
-
-# Stations that keep their number, as (first, last) runs.
-STATION_RUNS = {
-    "生产一区": [(2, 16), (18, 34)],
-    "生产二区": [(1, 8), (10, 34), (38, 40)],
-    "生产四区": [(1, 61)],
-}
-
-# Asset numbers that also name a station, in the order of the station number runs above.
-STATION_ASSETS = {
-    "生产一区": (
-        "WB-01-",
-        [
-            30, 87, 88, 90, 89, 91, 82, 83, 40, 86, 39, 38, 37, 85, 80,
-            81, 50, 36, 48, 47, 46, 45, 44, 43, 42, 41, 33, 34, 32, 49, 84, 35,
-        ],
-    ),
-    "生产四区": (
-        "WB-03-",
-        [
-            226, 227, 228, 229, 230, 231, 248, 261, 250, 255, 254, 253, 252, 251, 249, 256, 257, 262, 243, 242,
-            241, 258, 259, 260, 265, 264, 263, 244, 245, 246, 247, 240, 239, 238, 237, 236, 235, 211, 212, 213,
-            214, 215, 216, 220, 221, 222, 223, 224, 225, 232, 233, 234, 217, 218, 219, 267, 266, 109, 108, 110, 107,
-        ],
-    ),
-}
-
-# The move of one workshop to another plant; stations that changed line there.
+# The workshop that moved to another plant, before and after.
 MOVED_FROM = ("生产四区", "汉浦厂")
-MOVED_TO = ("古二COB二区", "古城厂", "GC2")
-MOVED_LINES = {
-    11: [44, 45, 46, 47, 48, 49, 56],
-    12: [50, 51, 52, 53, 54, 55, 57],
-    19: [1, 2, 3, 4, 5, 6],
-    20: [38, 39, 40, 41, 42, 43],
-}
+MOVED_TO = ("古二COB二区", "古城厂")
 
 # Final-QC operations, plants left out of the limit re-check, the station of the second source.
 FINAL_QC_OPERATIONS = ["QC外观检", "QC CCD检验"]

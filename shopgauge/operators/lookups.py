@@ -1,5 +1,8 @@
 """Name and code lookups. Each map is a small fixed table joined by broadcast, or a frame given by the caller."""
 
+import csv
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,57 +86,27 @@ def map_second_source_plant(df: DataFrame, workshop: str = "workshop_code", fact
     return joined.withColumn(factory, F.col("_plant")).drop("_old", "_plant")
 
 
-def _two_digits(number: int) -> str:
-    return f"WB{number:02d}"
-
-
-def _station_pairs(workshop: str) -> list[tuple[str, str]]:
-    """(old code, new code) of one workshop, from its line layout or its number runs."""
-    prefix, _, lines = fixed.STATION_LINES[workshop]
-    if lines is None:
-        numbers = [n for first, last in fixed.STATION_RUNS[workshop] for n in range(first, last + 1)]
-        pairs = [(_two_digits(n), f"{prefix}WB-{n:05d}") for n in numbers]
-        if workshop in fixed.STATION_ASSETS:
-            head, assets = fixed.STATION_ASSETS[workshop]
-            pairs += [(f"{head}{a:04d}", f"{prefix}WB-{n:05d}") for n, a in zip(numbers, assets)]
-        return pairs
-    pairs, counter = [], 0
-    for line, stations in lines.items():
-        if isinstance(stations, list):
-            olds = [_two_digits(n) for n in stations]
-        elif prefix == "GC1":
-            olds = [f"WB{line:02d}{position}" for position in range(1, stations + 1)]
-        else:
-            olds = [_two_digits(counter + position) for position in range(1, stations + 1)]
-            counter += stations
-        pairs += [(old, f"{prefix}WB-{line:02d}{i:03d}") for i, old in enumerate(olds, 1)]
-    return pairs
+STATION_COLUMNS = dict.fromkeys(["_workshop", "_factory", "_old", "_new"], "string")
+#: Fixed values, one line per station: workshop, plant (empty for any), old code, new code.
+STATIONS_FILE = Path(__file__).with_name("stations.csv")
+#: The same for the workshop that moved to another plant.
+MOVED_STATIONS = Path(__file__).with_name("moved_stations.csv")
 
 
-STATION_COLUMNS = dict.fromkeys(["_workshop", "_factory", "_old", "_new"], "string")
+def _station_table(spark: SparkSession, path: Path | str, workshops: list[str] | None = None) -> DataFrame:
+    with open(path, encoding="utf-8", newline="") as file:
+        rows = [(r["workshop"], r["plant"] or None, r["old"], r["new"]) for r in csv.DictReader(file)]
+    return fixed_table(spark, STATION_COLUMNS, [r for r in rows if workshops is None or r[0] in workshops])
 
 
-def station_map(spark: SparkSession, workshops: list[str] | None = None) -> DataFrame:
-    """(workshop, plant or NULL for any, old code, new code), built from the line layouts."""
-    names = workshops or list(fixed.STATION_LINES)
-    rows = [(w, fixed.STATION_LINES[w][1], old, new) for w in names for old, new in _station_pairs(w)]
-    return fixed_table(spark, STATION_COLUMNS, rows)
+def station_map(spark: SparkSession, workshops: list[str] | None = None, path: Path | str = STATIONS_FILE) -> DataFrame:
+    """(workshop, plant or NULL for any, old code, new code), of some workshops if they are named."""
+    return _station_table(spark, path, workshops)
 
 
-def move_map(spark: SparkSession) -> DataFrame:
+def move_map(spark: SparkSession, path: Path | str = MOVED_STATIONS) -> DataFrame:
     """Old code -> new code for the workshop that moved; stations outside the moved lines get their own new code."""
-    workshop, factory = fixed.MOVED_FROM
-    prefix = fixed.MOVED_TO[2]
-    moved = {
-        _two_digits(n): f"{prefix}WB-{line:02d}{i:03d}"
-        for line, numbers in fixed.MOVED_LINES.items()
-        for i, n in enumerate(numbers, 1)
-    }
-    own = dict(_station_pairs(workshop))
-    # An asset number moves with the station it stands for.
-    moved_from = {own[old]: new for old, new in moved.items()}
-    rows = [(workshop, factory, old, moved_from.get(new, new)) for old, new in own.items()]
-    return fixed_table(spark, STATION_COLUMNS, rows)
+    return _station_table(spark, path)
 
 
 def _match_station(df: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -156,7 +129,7 @@ def relocate(df: DataFrame) -> DataFrame:
     """Recode the stations of the workshop that moved, and name its new workshop and plant."""
     mapping = move_map(df.sparkSession)
     matched = _match_station(df, mapping)
-    workshop, factory, _ = fixed.MOVED_TO
+    workshop, factory = fixed.MOVED_TO
     moved = F.col("_new").isNotNull()
     return matched.withColumns(
         {
