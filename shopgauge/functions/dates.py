@@ -48,10 +48,11 @@ def label_year(begin: Column, end: Column, unit: str) -> Column:
 def row_order(time: str, row_id: str) -> Column:
     """Number that orders rows by a time column and rows of the same microsecond by a hash of their id.
 
-    A long, unlike a struct, can sit in a hash aggregate as the ordering of max_by. It holds 53 bits of
-    time and 10 of the hash. It is taken from the fields of the local time, so the session time zone
-    plays no part.
+    A decimal, unlike a struct, can sit in a hash aggregate as the ordering of max_by. It holds the
+    microseconds and all 64 bits of the hash. It is taken from the fields of the local time, so the
+    session time zone plays no part.
     """
     minutes = f"(bigint(datediff({time}, DATE'1970-01-01')) * 1440 + hour({time}) * 60 + minute({time}))"
     micros = f"({minutes} * 60000000 + bigint(extract(SECOND FROM {time}) * 1000000))"
-    return F.expr(f"{micros} * 1024 + pmod(xxhash64({row_id}), 1024)")
+    wide = "decimal(20,0)"
+    return F.expr(f"cast(cast({micros} as {wide}) * 18446744073709551616 + cast(xxhash64({row_id}) as {wide}) as decimal(38,0))")

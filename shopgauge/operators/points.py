@@ -4,14 +4,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopgauge.functions.numbers import fixed3
-from shopgauge.operators.keyed import look_back
+from shopgauge.operators.keyed import join_same, look_back
 from shopgauge.operators.subgroups import sheet_stats
 from shopgauge.schema import KEY, POINTS
 
 
 def limited_measurements(measurements: DataFrame, limits: DataFrame) -> DataFrame:
-    """Measurements whose process has limits. Limits are unique per key, so this keeps each row once."""
-    return measurements.join(limits.select(*KEY), KEY, "left_semi")
+    """Measurements whose process has limits, NULL key parts being equal. Limits are unique per key, so this keeps each row once."""
+    return join_same(measurements, limits.select(*KEY), KEY, "left_semi")
 
 
 def chart_points(

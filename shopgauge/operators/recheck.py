@@ -25,7 +25,10 @@ def relimit(
     plain means of the point values. None clean: delete. With `classes` only limits of those chart
     classes are computed again. Sizes that have no constants keep their limits.
     """
-    scoped = results.filter(~F.col("factory").isin(list(excluded_plants))) if excluded_plants else results
+    scoped = results
+    if excluded_plants:
+        # A process without a plant is in none of the excluded ones.
+        scoped = results.filter(F.coalesce(~F.col("factory").isin(list(excluded_plants)), F.lit(True)))
     recent = first_n(scoped, KEY, [F.desc("time"), F.desc("id_no")], newest)
     clean = F.col("spcwarn") == ""
     checked = (

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from shopgauge.operators import fixed_values as fixed
-from shopgauge.operators.keyed import look_back
+from shopgauge.operators.keyed import join_same, look_back
 from shopgauge.schema import KEY, LIMIT_COLUMNS, RESULTS
 
 POINT_ORDER = ["mdate", "id_no"]
@@ -77,7 +77,7 @@ def six_in_a_row(value: str, mode: str = "monotone") -> Column:
 
 def attach_limits(points: DataFrame, limits: DataFrame) -> DataFrame:
     """Points with the limits of their process; the join strategy is left to the sizes found at run time."""
-    return points.join(limits.select(*KEY, "pcs", "usl", "lsl", *LIMIT_COLUMNS), KEY)
+    return join_same(points, limits.select(*KEY, "pcs", "usl", "lsl", *LIMIT_COLUMNS), KEY)
 
 
 def flag_rules(

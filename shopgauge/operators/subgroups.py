@@ -57,14 +57,17 @@ def subgroup_stats(measurements: DataFrame) -> DataFrame:
 def sheet_stats(measurements: DataFrame) -> DataFrame:
     """Statistics per inspection sheet whatever the run card, under the run card and time of its first row.
 
-    The deviations of the cards are put together from their sums of squares about their own means.
+    The deviations of the cards are put together from their sums of squares about their own means and
+    the distances of those from the mean of the sheet. Window and aggregate share one exchange.
     """
     n, total = F.sum("n"), F.sum("total")
     size = F.nullif(F.col("n"), F.lit(0))
     within = F.sum(F.col("n") * F.col("deviation") * F.col("deviation"))
-    between = F.sum(F.col("total") * F.col("total") / size) - total * total / F.nullif(n, F.lit(0))
-    pooled = F.sqrt((within + F.greatest(between, F.lit(0.0))) / F.nullif(n, F.lit(0)))
-    merged = _samples(measurements).groupBy(*KEY, "id_no").agg(
+    sheet = W.partitionBy(*KEY, "id_no")
+    mean = F.sum("total").over(sheet) / F.nullif(F.sum("n").over(sheet), F.lit(0))
+    apart = F.col("total") / size - F.col("_mean")
+    pooled = F.sqrt((within + F.sum(F.col("n") * apart * apart)) / F.nullif(n, F.lit(0)))
+    merged = _samples(measurements).withColumn("_mean", mean).groupBy(*KEY, "id_no").agg(
         F.min_by("rcard", F.struct("begin_mdate", "rcard")).alias("rcard"),
         F.min("begin_mdate").alias("mdate"),
         n.cast("int").alias("n"),
@@ -107,7 +110,7 @@ def moving_range(stats: DataFrame, slots: int | None = None) -> DataFrame:
         SAMPLE_ORDER,
         1,
         lambda window: {"range": _range(F.lag("newest_row_sum").over(window))},
-        slots=None,
+        slots=slots,
     )
 
 

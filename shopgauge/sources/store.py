@@ -15,8 +15,10 @@ from shopgauge.schema import KEY, LIMIT_COLUMNS
 
 def row_id(columns: Sequence[str]) -> Column:
     """Id of a row from its natural key, the same on every run."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    texts = [F.col(c).cast("string") for c in columns]
+    # Each value with its length before it, so that neither borders nor NULL can be mistaken.
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.sha2(F.concat(*parts), 256)
 
 
 def random_row_id() -> Column:
