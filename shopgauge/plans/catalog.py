@@ -452,7 +452,7 @@ def next_period_slice(spark, folder):
         "begin", "end", "week",
     )
     begin = slices.next_period_begin(weeks, "period_end", F.lit("1995-01-01").cast("date")).scalar()
-    kept = lines.filter(F.to_date("l_shipdate") >= begin)
+    kept = lines.filter(F.col("l_shipdate") >= begin)
     return kept.select("l_orderkey", "l_linenumber", "l_partkey", day_text(F.to_date("l_shipdate")).alias("ship_day"))
 
 

@@ -4,8 +4,10 @@ The SQL uses one window over each whole key where the Spark plans work in slots,
 statistics from the readings where they are merged in Spark.
 """
 
+import csv
+
 from shopgauge.operators import fixed_values as fixed
-from shopgauge.operators.lookups import _station_pairs
+from shopgauge.operators.lookups import MOVED_STATIONS, STATIONS_FILE
 from shopgauge.plans.catalog import MARK, RUN_TIME
 from shopgauge.plans.clean import AUDIT_COLUMNS
 from shopgauge.schema import KEY, LIMIT_COLUMNS
@@ -42,6 +44,12 @@ def with_(parts, final: str) -> str:
 # -- fixtures ------------------------------------------------------------------------------------
 
 _size = "CASE event_type " + " ".join(f"WHEN '{t}' THEN {k}" for t, k in SAMPLE_SIZES.items()) + " ELSE 10 END"
+def row_id(*columns):
+    """Each value with its length before it, so that neither borders nor NULL can be mistaken."""
+    parts = [f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns]
+    return f"sha256(concat({', '.join(parts)}))"
+
+
 INSP = [
     ("numbered", "SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events"),
     (
@@ -231,7 +239,7 @@ add(
 add("moving_range", SAMPLES, f"SELECT op_code, id_no, n, {fixed3('range')} AS range FROM ranged")
 add("rank_newest", INSP, f"SELECT op_code, id, row_number() OVER (PARTITION BY {K} ORDER BY mdate DESC, id DESC) AS num FROM insp")
 add("rank_oldest", INSP, f"SELECT op_code, id_no, id, row_number() OVER (PARTITION BY {K}, id_no ORDER BY mdate, id) AS num FROM insp")
-add("row_id", INSP, "SELECT op_code, id_no, id, sha256(concat_ws('|', op_code, id_no, id, tdata)) AS row_id FROM insp")
+add("row_id", INSP, "SELECT op_code, id_no, id, " + row_id("op_code", "id_no", "id", "tdata") + " AS row_id FROM insp")
 add(
     "chart_class",
     SAMPLES,
@@ -265,7 +273,12 @@ add(
     f"SELECT {LIMIT_FIELDS} FROM limits",
 )
 
-_station_rows = [(w, fixed.STATION_LINES[w][1], old, new) for w in fixed.STATION_LINES for old, new in _station_pairs(w)]
+def _csv_rows(path):
+    with open(path, encoding="utf-8", newline="") as file:
+        return [(r["workshop"], r["plant"] or None, r["old"], r["new"]) for r in csv.DictReader(file)]
+
+
+_station_rows = _csv_rows(STATIONS_FILE)
 STATIONS = ("stations", f"SELECT * FROM ({values(_station_rows)}) AS v(workshop, plant, old, new)")
 _match = "r.workshop_code = v.workshop AND (v.plant IS NULL OR r.factory = v.plant) AND r.sta_code = v.old"
 WB_ROWS = ("wbrows", "SELECT * FROM bonding WHERE first_time = '巡检' AND op_code = 'WB'")
@@ -295,9 +308,7 @@ add(
     ],
     f"SELECT {LIMIT_FIELDS} FROM limits",
 )
-_gone = {f"WB{n:02d}": f"GC2WB-{line:02d}{i:03d}" for line, ns in fixed.MOVED_LINES.items() for i, n in enumerate(ns, 1)}
-_old_new = _station_pairs("生产四区")
-_move_rows = [(old, _gone.get(f"WB{int(new[-2:]):02d}", new)) for old, new in _old_new]
+_move_rows = [(old, new) for _, _, old, new in _csv_rows(MOVED_STATIONS)]
 add(
     "limits_relocate",
     [
@@ -321,12 +332,12 @@ add(
 add(
     "limited_measurements",
     ALL_LIMITS,
-    f"SELECT op_code, id_no, id, tdata FROM insp WHERE EXISTS (SELECT 1 FROM limits l WHERE {' AND '.join(f'l.{k} = insp.{k}' for k in KEY)})",
+    f"SELECT op_code, id_no, id, tdata FROM insp WHERE EXISTS (SELECT 1 FROM limits l WHERE {' AND '.join(f'l.{k} IS NOT DISTINCT FROM insp.{k}' for k in KEY)})",
 )
 
 
 def point_parts(rows: str, limits: str, p: str = "p", mark: str | None = None):
-    same = " AND ".join(f"l.{k} = m.{k}" for k in KEY)
+    same = " AND ".join(f"l.{k} IS NOT DISTINCT FROM m.{k}" for k in KEY)
     after = f" AND mdate > TIMESTAMP '{mark}'" if mark else ""
     return [
         (f"{p}rows", f"SELECT * FROM {rows} m WHERE EXISTS (SELECT 1 FROM {limits} l WHERE {same})"),
@@ -406,7 +417,7 @@ def judged_parts(points: str, rules, p: str = "j", compat: bool = False):
         f"coalesce({rule_sql(r, *m, compat)}, false) AS {name}_{r}" for r in rules for name, m in _MEASURES.items()
     )
     limit_fields = ", ".join("l." + c for c in ("pcs", "usl", "lsl", *LIMIT_COLUMNS))
-    same = " AND ".join(f"l.{k} = q.{k}" for k in KEY)
+    same = " AND ".join(f"l.{k} IS NOT DISTINCT FROM q.{k}" for k in KEY)
     return [
         (f"{p}join", f"SELECT q.*, {limit_fields} FROM {points} q JOIN limits l ON {same}"),
         (f"{p}flag", f"SELECT *, {flags} FROM {p}join WINDOW w AS (PARTITION BY {K} ORDER BY mdate, id_no)"),
@@ -468,7 +479,7 @@ add(
 
 
 def recheck_parts(excluded, classes: str):
-    out = f"WHERE factory NOT IN ({', '.join(text(f) for f in excluded)})" if excluded else ""
+    out = f"WHERE coalesce(factory NOT IN ({', '.join(text(f) for f in excluded)}), true)" if excluded else ""
     clean = "FILTER (spcwarn = '')"
     return [
         (
@@ -700,7 +711,7 @@ INSPECTIONS = [
     ),
     (
         "inspections",
-        """SELECT sha256(concat_ws('|', id_no, rcard, testitem, mdate, tdata)) AS id,
+        f"""SELECT {row_id("id_no", "rcard", "testitem", "mdate", "tdata")} AS id,
         CASE WHEN v.old IS NULL THEN w ELSE v.new END AS workshop_code, mdate, first_time, rcard, part_spec, pixel, op_code, sta_code,
         testitem, eattribute1_1, result, id_no, lower, upper, tdata, v.plant AS factory
         FROM header JOIN detail ON header.id = detail.id_no LEFT JOIN workshops v ON w = v.old""",
@@ -756,7 +767,7 @@ add(
         ),
         ("pnames", "SELECT DISTINCT op_code AS pname FROM lots"),
     ],
-    """SELECT sha256(concat_ws('|', wo_code, lots.rcard, lots.op_code, lots.mdate, coalesce(CAST(bad.ec_code AS VARCHAR), ''))) AS id,
+    f"""SELECT {row_id("wo_code", "lots.rcard", "lots.op_code", "lots.mdate", "bad.ec_code")} AS id,
     wo_code, p_brand AS pixel, lots.rcard, 'RT1' AS router_code, lots.op_code, ok_qty, sampling_qty, n_name AS ec_name, qty,
     CASE WHEN qty IS NULL OR qty = 0 THEN 'OK' ELSE 'NG' END AS result, muser, lots.mdate,
     CASE WHEN v.old IS NULL THEN w ELSE v.test END AS workshop_code, v.plant AS factory
@@ -787,7 +798,7 @@ add(
             WHERE op_code = 'WB' AND first_time = '巡检'""",
         ),
     ],
-    """SELECT sha256(concat_ws('|', id_no, testitem, eattribute1_1, mdate, tdata)) AS id, workshop_code, mdate, first_time, rcard,
+    f"""SELECT {row_id("id_no", "testitem", "eattribute1_1", "mdate", "tdata")} AS id, workshop_code, mdate, first_time, rcard,
     part_spec, op_code, coalesce(v.new, line) AS sta_code, testitem, eattribute1_1, id_no, lower, upper, tdata, j.plant AS factory
     FROM joined j LEFT JOIN stations v ON j.workshop_code = v.workshop AND (v.plant IS NULL OR j.plant = v.plant) AND line = v.old""",
 )

@@ -20,15 +20,6 @@ def load(spark: SparkSession, folder: str, name: str, view: str | None = None) -
     return table
 
 
-def dealt(table: DataFrame) -> DataFrame:
-    """The rows dealt out over all cores when their files give fewer tasks than that; else the table as it is.
-
-    Tables in many files never pay for the exchange. Filters and column choice still reach the scan.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def fixed_table(spark: SparkSession, columns: dict[str, str], rows: Sequence[tuple]) -> DataFrame:
     """A frame of fixed rows. Through Arrow it becomes a local relation, so the planner knows its size."""
     arrays = [pa.array([row[i] for row in rows], _ARROW[kind]) for i, kind in enumerate(columns.values())]
