@@ -20,9 +20,15 @@ from shopgauge.sources.shared import pinned, work_folder
 _PACKAGE = Path(__file__).resolve().parent.parent
 
 
+#: Rows of whole texts that go to a Python worker at a time, unless the session sets a number of its own.
+BATCH_ROWS = 4000
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors once per application, as `--py-files` would."""
+    """Send this package to the executors once per application, as `--py-files` would, and bound the batches of texts."""
     context = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if getattr(context, "_shopgauge_shipped", False):
         return spark
     body = io.BytesIO()
@@ -71,6 +77,8 @@ def append(df: DataFrame, text: str | Column, added: str, compute: Callable[[pa.
         for batch in batches:
             columns = batch.columns[:-1]
             yield pa.RecordBatch.from_arrays([*columns, *compute(batch.column(len(columns)))], names=names)
+            del batch, columns
+            pa.default_memory_pool().release_unused()
 
     value = F.col(f"`{text}`").cast("string") if isinstance(text, str) else text
     # Chosen together, since the text may have the name of a column that is replaced.

@@ -71,7 +71,7 @@ def shared_encoder(path: str) -> Encoder:
 class Encoder:
     """Ids of texts as little-endian 32-bit numbers. `cache` bounds the words remembered per process."""
 
-    def __init__(self, path: str, cache: int = 1_000_000):
+    def __init__(self, path: str, cache: int = 250_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
