@@ -7,6 +7,7 @@ new folder. Writes are one job each and idempotent, because row ids come from th
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shopgauge.operators.keyed import join_same, latest_per_key
@@ -38,9 +39,10 @@ def write_new(df: DataFrame, path: str) -> None:
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str] = ("time",)) -> DataFrame:
     """The rows of `old` with those of `new` put in place by key; among new copies the latest wins."""
-    fresh = latest_per_key(new, keys, order)
-    kept = join_same(old, fresh.select(*keys), keys, "left_anti")
-    return kept.unionByName(fresh)
+    # One union instead of a join and a union, so that `new` is computed once.
+    tagged = old.withColumn("_new", F.lit(0)).unionByName(latest_per_key(new, keys, order).withColumn("_new", F.lit(1)))
+    newest = F.max("_new").over(W.partitionBy(*keys))
+    return tagged.withColumn("_newest", newest).where("_new = _newest").drop("_new", "_newest")
 
 
 def update_limits(limits: DataFrame, changes: DataFrame) -> DataFrame:
