@@ -50,7 +50,7 @@ def kept(df: DataFrame) -> DataFrame:
 def written(df: DataFrame) -> DataFrame:
     """The rows written as Parquet to a new shared folder and read again: compressed, with columns that can be pruned."""
     folder = work_folder(df.sparkSession)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     table = df.sparkSession.read.schema(df.schema).parquet(folder)
     table._written_folder = folder
     return table
