@@ -1,10 +1,10 @@
 """Removal of byte strings that repeat an earlier document's, by suffix arrays built with the difference-cover algorithm.
 
 Only strings that can repeat are sorted. Every string of `length` bytes is owned by its smallest hashed k-gram, which is the same
-wherever the string stands; strings whose owner is in one document only are left out. The others go, as pieces of text, to buckets by
-owner, so equal strings meet in one bucket and equal pieces are one. A bucket sorts the suffixes of its pieces: triples at two of
-three positions are sorted and named, names are sorted by recursion, the remaining suffixes are merged in; then adjacent prefixes are
-compared.
+wherever the string stands; strings whose owner is in one document only are left out. The others form pieces of text. Equal pieces are
+one, by 128 bits, and the text of one of them goes to a bucket by owner, so equal strings meet in one bucket. A bucket sorts the
+suffixes of its pieces: triples at two of three positions are sorted and named, names are sorted by recursion, the remaining suffixes
+are merged in; then adjacent prefixes are compared. Whole copies of a smaller document are set aside first.
 """
 
 from __future__ import annotations
@@ -21,7 +21,9 @@ from shopgauge.llm.common import append, discard, release, written
 
 GRAM = 20
 _SEGMENT = 1 << 22
-_KINDS = {"anchor": pa.int64(), "sub": pa.int64(), "one": pa.int64(), "two": pa.int64(), "body": pa.binary(), "doc_id": pa.int64(), "start": pa.int32()}
+_KINDS = {
+    "anchor": pa.int64(), "key": pa.int64(), "two": pa.int64(), "doc_id": pa.int64(), "start": pa.int32(), "size": pa.int32(), "body": pa.binary(), "high": pa.int64(),
+}
 
 
 def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
@@ -143,7 +145,10 @@ def _anchors(length: int):
 
 
 def _pieces(length: int):
-    """Pieces of text around shared owners. A piece holds the strings of one owner; of a hot owner each string is a piece."""
+    """Pieces of text around shared owners. A piece holds the strings of one owner; of a hot owner each string is a piece.
+
+    `key` is the hash of the owner, of a hot one with the edges of the string, `two` an independent hash of the whole piece.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,20 +166,49 @@ def _pieces(length: int):
                 at = _changes(text, owner, np.where(hot, start, -1))
                 last = np.append(at[1:], len(start)) - 1
                 begin, end = start[at], start[last] + length
-                whole = data.tobytes()
-                values = hashing.byte_values(data)
-                one = hashing.spans(values, begin, end).view(np.int64)
+                key = grams[owner[at]]
+                if hot.any():
+                    # Equal strings begin and end alike and have their owner at the same distance.
+                    values = hashing.byte_values(data)
+                    edge = hashing.runs(values, begin, 12) ^ hashing.runs(values, end - 12, 12, 1) ^ (owner[at] - begin).astype(np.uint64)
+                    key = np.where(hot[at], hashing.mix(key ^ edge), key)
                 two = hashing.spans(hashing.byte_values(data, 1), begin, end, 1).view(np.int64)
-                # Equal strings begin and end alike and have their owner at the same distance.
-                edge = hashing.runs(values, begin, 12) ^ hashing.runs(values, end - 12, 12, 1) ^ (owner[at] - begin).astype(np.uint64)
-                sub = np.where(hot[at], (edge >> np.uint64(1)).astype(np.int64), 0)
-                bodies = [whole[a:b] for a, b in zip(begin.tolist(), end.tolist())]
-                columns = [grams[owner[at]].view(np.int64), sub, one, two, bodies, ids[row + text[at]], begin - offsets[text[at]]]
-                yield _batch(columns, list(_KINDS))
+                columns = [key.view(np.int64), two, ids[row + text[at]], begin - offsets[text[at]], end - begin]
+                yield _batch(columns, ["key", "two", "doc_id", "start", "size"])
 
     return run
 
 
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of pieces given, for each document, by start and size."""
+    names = ["key", "two", "body", "doc_id", "high"]
+    for batch in batches:
+        out: list[pa.RecordBatch] = []
+        held = 0
+        for doc, text, pieces in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            key, two, start, size, high = pieces.values.flatten()
+            whole = text.as_py().encode()
+            begin = start.to_numpy()
+            bodies = [whole[a:b] for a, b in zip(begin.tolist(), (begin + size.to_numpy()).tolist())]
+            out.append(_batch([key, two, bodies, np.full(len(key), doc), high], names))
+            held += out[-1].nbytes
+            if held > 1 << 22:
+                yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+                out, held = [], 0
+        if out:
+            yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+
+
+def _copies(texts: DataFrame, length: int) -> DataFrame:
+    """doc_id, starts: documents whose text is that of a document with a smaller id; all their strings repeat."""
+    whole = written(texts.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), F.octet_length("text").alias("size")))
+    first = whole.groupBy("digest").agg(F.min("doc_id").alias("_first"))
+    run = F.struct(F.lit(0).alias("from"), (F.col("size") - length + 1).alias("to"))
+    found = written(whole.join(first, "digest").where("doc_id > _first").select("doc_id", F.expr(f"size >= {length}").alias("_long"), F.array(run).alias("starts")).distinct())
+    discard(whole)
+    return found
+
+
 def repeats(documents: DataFrame, length: int = 50, bucket_bytes: int = 1 << 21, hot: int = 20_000) -> DataFrame:
     """doc_id, starts: where strings of `length` bytes begin in a document that also begin in one with a smaller id.
 
@@ -183,6 +217,9 @@ def repeats(documents: DataFrame, length: int = 50, bucket_bytes: int = 1 << 21,
     """
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null and text is not null")
+    copies = _copies(texts, length)
+    release(spark)
+    texts = texts.join(copies.select("doc_id"), "doc_id", "left_anti")
     anchors = texts.mapInArrow(_anchors(length), "anchor long, doc_id long, start int")
     groups = anchors.groupBy("anchor").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high"), F.count("*").alias("_n"))
     shared = written(groups.where("_low < _high").select("anchor", (F.col("_n") > hot).alias("hot")))
@@ -192,17 +229,18 @@ def repeats(documents: DataFrame, length: int = 50, bucket_bytes: int = 1 << 21,
     discard(shared)
     release(spark)
     near = texts.join(places, "doc_id").select("doc_id", "text", "places", "hots")
-    pieces = written(near.mapInArrow(_pieces(length), "anchor long, sub long, one long, two long, body binary, doc_id long, start int"))
+    pieces = written(near.mapInArrow(_pieces(length), "key long, two long, doc_id long, start int, size int"))
     discard(places)
     release(spark)
-    same = ["anchor", "sub", "one", "two"]
-    # A hash aggregate holds no text: the body of a piece comes back by the smallest document that has it.
-    lows = written(pieces.groupBy(*same).agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("high")))
+    # Equal pieces are one: the one of the smallest document, wherever it stands there. All buffers are numbers.
+    same = pieces.groupBy("key", "two").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("high"), F.min_by("start", "doc_id").alias("start"), F.min("size").alias("size"))
+    firsts = written(same)
+    release(spark)
+    buckets = max(1, -(-(firsts.agg(F.sum("size")).first()[0] or 0) // bucket_bytes))
+    chosen = firsts.groupBy("doc_id").agg(F.collect_list(F.struct("key", "two", "start", "size", "high")).alias("pieces"))
+    bodies = written(texts.join(chosen, "doc_id").select("doc_id", "text", "pieces").mapInArrow(_bodies, "key long, two long, body binary, doc_id long, high long"))
+    discard(firsts)
     release(spark)
-    starts = pieces.groupBy(*same, "doc_id").agg(F.min("start").alias("start"))
-    bodies = pieces.join(lows.join(starts, [*same, "doc_id"]), [*same, "doc_id", "start"]).dropDuplicates(same)
-    total = pieces.agg(F.sum(F.length("body"))).first()[0] or 0
-    buckets = max(1, -(-total // (2 * bucket_bytes)))
 
     def sort(table: pa.Table) -> pa.Table:
         bodies, high = table["body"].to_pylist(), table["high"].to_numpy()
@@ -213,20 +251,19 @@ def repeats(documents: DataFrame, length: int = 50, bucket_bytes: int = 1 << 21,
             ends = np.append(at[1:], len(value))
             runs.append([{"from": int(a), "to": int(b), "low": int(value[a])} for a, b in zip(at, ends) if value[a] < top])
         kind = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32()), ("low", pa.int64())]))
-        return table.select(same).append_column("runs", pa.array(runs, kind)).filter(pa.array([bool(r) for r in runs], pa.bool_()))
+        return table.select(["key", "two"]).append_column("runs", pa.array(runs, kind)).filter(pa.array([bool(r) for r in runs], pa.bool_()))
 
-    schema = "anchor long, sub long, one long, two long, runs array<struct<from: int, to: int, low: long>>"
-    bucket = F.pmod(F.xxhash64("anchor", "sub"), F.lit(buckets))
-    sorted_runs = bodies.select(*same, "body", "doc_id", "high").groupBy(bucket.alias("bucket")).applyInArrow(sort, schema)
-    ranges = written(sorted_runs)
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")
+    ranges = written(bodies.groupBy(bucket).applyInArrow(sort, "key long, two long, runs array<struct<from: int, to: int, low: long>>"))
+    discard(bodies)
     release(spark)
-    back = pieces.select(*same, "doc_id", "start").join(ranges, same)
+    back = pieces.select("key", "two", "doc_id", "start").join(ranges, ["key", "two"])
     back = back.withColumn("run", F.explode(F.expr("filter(runs, r -> r.low < doc_id)")))
     run = F.struct((F.col("start") + F.col("run.from")).alias("from"), (F.col("start") + F.col("run.to")).alias("to"))
     out = written(back.groupBy("doc_id").agg(F.collect_set(run).alias("starts")))
-    discard(pieces, lows, ranges)
+    discard(pieces, ranges)
     release(spark)
-    return out
+    return out.unionByName(copies.where("_long").drop("_long"))
 
 
 def strip(documents: DataFrame, found: DataFrame, length: int = 50) -> DataFrame:
