@@ -37,7 +37,7 @@ def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
     sampled = np.concatenate([ones, twos])
     if s.max() < 1 << 21:
         key = (s[sampled] << 42) | (s[sampled + 1] << 21) | s[sampled + 2]
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         fresh = key[order][1:] != key[order][:-1]
     else:
         order = np.lexsort((s[sampled + 2], s[sampled + 1], s[sampled]))
@@ -52,7 +52,7 @@ def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
     sampled = sampled[order]
     sampled = sampled[sampled < n]
     zeros = np.arange(0, n, 3)
-    zeros = zeros[np.argsort((s[zeros] << 32) | rank[zeros + 1], kind="stable")]
+    zeros = zeros[np.argsort((s[zeros] << 32) | rank[zeros + 1])]
     before = np.zeros(len(sampled), np.int64)
     of_one = sampled % 3 == 1
     i = sampled[of_one]
