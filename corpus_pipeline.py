@@ -44,9 +44,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def in_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' token ids in sequences of 2048."""
+    """Pieces of the documents in sequences of 2048, each with its token ids."""
     ship(spark)
-    return packing.packed(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
+    return packing.packed(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True))
 
 
 STAGES = [

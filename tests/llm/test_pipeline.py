@@ -67,3 +67,18 @@ def test_bad_rows_go_through(spark):
             now = stage(spark, now, FOLDER)
         assert sorted((r.doc_id is None, r.doc_tokens > 1) for r in now.collect()) == ([(False, True), (True, True)] if docs else [])
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_sequences_hold_the_ids(spark):
+    docs = [(i, "some words of a text " * (1 + i % 900), "en", "s", 0) for i in range(40)]
+    schema = spark.read.parquet(f"{FOLDER}/documents.parquet").schema
+    _, stage = corpus_pipeline.STAGES[-1]
+    rows = stage(spark, spark.createDataFrame(docs, schema), FOLDER).collect()
+    assert all(len(r.ids) == r.length for r in rows)
+    sequences = {}
+    for r in sorted(rows, key=lambda r: r.offset):
+        sequences.setdefault(r.sequence_id, []).extend(r.ids)
+    found = {}
+    for r in sorted(rows, key=lambda r: r.start):
+        found.setdefault(r.doc_id, []).extend(sequences[r.sequence_id][r.offset : r.offset + r.length])
+    assert found == {d[0]: [*test_packing.ids(d[1]), 1] for d in docs}
