@@ -16,7 +16,7 @@ from shopgauge.llm.common import append
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|\]\]>"
-    r"|<(?P<raw>script|style|noscript|template|textarea|svg|math|iframe|object|select|title|xmp|noembed|noframes)\b[^>]*+(?:>.*?(?:</(?P=raw)\s*+>|\Z)|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|textarea|iframe|object|select|title|xmp|noembed|noframes)\b(?P<rest>[^>]*+)(?:>.*?(?:</(?P=raw)\s*+>|\Z)|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*?)(?:>|\Z)"
     r"|<[!?/][^>]*+(?:>|\Z)",
     re.I | re.S,
@@ -26,12 +26,19 @@ _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 # Fixed values of HTML.
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time "
-    "tt u var wbr ruby rb rt rp picture source nobr".split()
+    "tt u var wbr ruby rb rt rp picture source nobr svg math".split()
 )
+#: Elements that end an svg or math that is still open.
+_BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s "
+    "small span strong strike sub sup table tt u ul var".split()
+)
+#: Elements of svg and math that hold HTML.
+_HOLDS_HTML = ("foreignobject", "desc", "annotation-xml", "mtext", "mi", "mo", "mn", "ms")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _PLAIN = frozenset("p li dt dd option tr td th".split())
 #: Elements that never hold the article.
-_OUTSIDE = frozenset("head nav footer aside form button menu dialog fieldset".split())
+_OUTSIDE = frozenset("head nav footer aside form button menu dialog fieldset svg".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar status".split())
 #: Words in class or id names of parts that are not the article.
 _BAD = frozenset(
@@ -105,19 +112,38 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         article -= good
         links -= name == "a"
 
+    def inner(name: str) -> bool:
+        """Whether the innermost open element of that name, if any, lies in the innermost svg or math."""
+        if not opened.get(name):
+            return True
+        for known, *_ in reversed(stack):
+            if known == name:
+                return True
+            if known in ("svg", "math"):
+                return False
+        return False
+
     at = 0
-    for m in _TAG.finditer(page):
+    while m := _TAG.search(page, at):
         if m.start() > at and not outside:
             piece = page[at : m.start()]
             text.append(piece)
             if not links:
                 plain += len(piece.strip())
         at = m.end()
+        drawn = opened.get("svg") or opened.get("math")
         name = m["name"]
         if not name:
+            if drawn and m["raw"] and m["rest"].endswith("/"):
+                # Empty in svg and math, so what follows is not its content.
+                at = m.end("rest") + 1
             continue
         name = name.lower()
-        block = name not in _INLINE
+        if drawn and not m["end"] and name in _BREAKOUT and not any(opened.get(x) for x in _HOLDS_HTML):
+            while opened.get("svg") or opened.get("math"):
+                close()
+            drawn = 0
+        block = name not in _INLINE and not (drawn and (not m["end"] or inner(name)))
         if block:
             flush()
         if m["end"]:
@@ -136,7 +162,7 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
                     close()
         if name in _PLAIN and stack and stack[-1][0] == name:
             close()
-        if name in _VOID:
+        if name in _VOID or (drawn or name in ("svg", "math")) and m["attributes"].endswith("/"):
             continue
         bad = _is_outside(name, m["attributes"], article > 0)
         good = not bad and (name in ("article", "main") or 'role="main"' in m["attributes"])

@@ -65,3 +65,15 @@ def test_query(spark):
         parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?p>|</?h1>|<br>", article)]
         want = "\n".join(x for x in parts if x)
         assert (got[p.page_id].text, got[p.page_id].n_chars, got[p.page_id].url) == (want, len(want), p.url)
+
+
+@pytest.mark.parametrize("page, want", [
+    ('<svg class="logo"/><math/><article><p>one <svg class="i"/> two</p><p>three <svg/></p></article>', "one two\nthree"),
+    ('<article><p>one <svg class="i"><g><path d="M0"/></g><title/><text>mark</text></svg> two</p><p>three</p></article>', "one two\nthree"),
+    ("<article><p>so <math><mrow><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow></math> holds</p></article>", "so x=12 holds"),
+    ("<article><p>one <svg><path d='M0'> gone</p><p>two</p><svg><g><p>three</p></article>", "one\ntwo\nthree"),
+    ("<article><p>one <svg><foreignObject><p>label</p></foreignObject></svg> two</p></article>", "one two"),
+    ("<svg><g></g></svg></g><article>a <svg></g><style/>b</svg>c<style/>d</article>", "a c"),
+])
+def test_svg_and_math(page, want):
+    assert main_text(page) == want
