@@ -86,7 +86,7 @@ def _is_outside(name: str, attributes: str, inside: bool) -> bool:
 def lines(page: str) -> list[tuple[str, int, bool]]:
     """(text, length of text that is no link, inside an article or main element) for every block of the page outside menus and the like."""
     out: list[tuple[str, int, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, outside, article
+    stack: list[tuple[str, bool, bool, bool]] = []  # name, outside, article, link
     opened: dict[str, int] = {}
     outside = article = links = 0
     text: list[str] = []
@@ -106,11 +106,11 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
 
     def close() -> None:
         nonlocal outside, article, links
-        name, bad, good = stack.pop()
+        name, bad, good, link = stack.pop()
         opened[name] -= 1
         outside -= bad
         article -= good
-        links -= name == "a"
+        links -= link
 
     def inner(name: str) -> bool:
         """Whether the innermost open element of that name, if any, lies in the innermost svg or math."""
@@ -166,11 +166,14 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
             continue
         bad = _is_outside(name, m["attributes"], article > 0)
         good = not bad and (name in ("article", "main") or 'role="main"' in m["attributes"])
-        stack.append((name, bad, good))
+        # An <a> that only names a place is no link.
+        keys = {k[1].lower() for k in _ATTRIBUTE.finditer(m["attributes"]) if k[1]} if name == "a" else ()
+        link = name == "a" and ("href" in keys or not keys & {"name", "id"})
+        stack.append((name, bad, good, link))
         opened[name] = opened.get(name, 0) + 1
         outside += bad
         article += good
-        links += name == "a"
+        links += link
     if at < len(page) and not outside:
         text.append(page[at:])
         plain += len(page[at:].strip())
@@ -198,21 +201,28 @@ def between_surge_and_dive(lengths: list[int], window: int, surge: int) -> list[
     return kept
 
 
+def _kept(found: list[tuple[str, int, bool]], window: int, surge: int) -> list[tuple[str, int, bool]]:
+    """The lines between surge and dive; a line that is mostly links counts as empty."""
+    lengths = [n if 2 * n >= len(text) else 0 for text, n, _ in found]
+    return [x for x, keep in zip(found, between_surge_and_dive(lengths, window, surge)) if keep]
+
+
 def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
     """The article's blocks joined by newlines; empty for a page without text.
 
-    If the page marks its article, only lines in it count and any text makes a surge; else the sum has to exceed `surge`, and if
-    it nowhere does, any text counts. A line that is mostly links counts as empty.
+    If the page marks its article, and the marked text is no shorter than what surges outside it, all blocks in it are the article.
+    Else the article is what surges on the page: the sum has to exceed `surge`, and if it nowhere does, any text counts.
     """
     if not page:
         return ""
     found = lines(page)
     marked = [x for x in found if x[2]]
-    if marked:
-        found, surge = marked, 0
-    lengths = [n if 2 * n >= len(text) else 0 for text, n, _ in found]
-    kept = between_surge_and_dive(lengths, window, surge if any(sum(lengths[i : i + window]) > surge for i in range(len(lengths))) else 0)
-    return "\n".join(x[0] for x, keep in zip(found, kept) if keep)
+    rest = _kept([x for x in found if not x[2]], window, surge) if marked else []
+    if marked and sum(len(x[0]) for x in marked) >= sum(len(x[0]) for x in rest):
+        kept = marked
+    else:
+        kept = _kept(found, window, surge) or _kept(found, window, 0)
+    return "\n".join(x[0] for x in kept)
 
 
 def extract(pages: DataFrame, column: str = "html", window: int = 3, surge: int = 80) -> DataFrame:

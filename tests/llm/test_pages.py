@@ -77,3 +77,15 @@ def test_query(spark):
 ])
 def test_svg_and_math(page, want):
     assert main_text(page) == want
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<article><h1><a href=x>Title</a></h1><p>Be.</p><ul><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul></article>", "Title\nBe.\nOne\nTwo\nThree"),
+    (f"<article><p>A</p>{'<p><a href=x>source</a></p>' * 4}<p>Z</p></article>", "A\n" + "source\n" * 4 + "Z"),
+    (f"<div><a name=top><p>{LONG}</p><p>{LONG}</p><p>End</p></div>", f"{LONG.strip()}\n{LONG.strip()}\nEnd"),
+    (f"<div><p>{LONG * 3}</p><article><a href=x>Card one</a></article><p>{LONG * 3}</p><article>Card two</article><p>{LONG}</p></div>",
+     f"{(LONG * 3).strip()}\nCard one\n{(LONG * 3).strip()}\nCard two\n{LONG.strip()}"),
+    (f"<div>{LONG}</div><article><p>{LONG * 2}</p></article>", (LONG * 2).strip()),
+])
+def test_article_whole_and_trusted(page, want):
+    assert main_text(page) == want
