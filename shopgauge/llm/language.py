@@ -111,13 +111,18 @@ class Model:
 
 
 def learn(documents: DataFrame, per_language: int = 400, bits: int = 15, families: dict[str, list[str]] | None = None) -> Model:
-    """Fit on at most `per_language` rows of each language, those with the smallest hash of their text; whole texts.
+    """Fit on at most `per_language` different texts of each language, those with the smallest hash; whole texts.
 
-    Rows without language or letters teach nothing. Without any row the model answers `und`; with one language, that language.
+    Copies of a text teach once. Rows without language or letters teach nothing. Without any row the model answers `und`; with one
+    language, that language.
     """
-    order = W.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    known = documents.select("lang", "text").where("lang is not null and text is not null")
-    sample = known.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language).select("lang", "text")
+    known = documents.select("lang", "text", F.xxhash64("text").alias("_hash")).where("lang is not null and text is not null")
+    order = W.partitionBy("lang").orderBy("_hash")
+    different = known.groupBy("lang", "_hash").agg(F.count("*").alias("_copies"))
+    # At most per_language narrow rows of each language, so the broadcast has a bound.
+    chosen = different.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language).select("lang", "_hash")
+    copies = known.join(F.broadcast(chosen), ["lang", "_hash"], "left_semi")
+    sample = copies.groupBy("lang", "_hash").agg(F.min("text").alias("text")).select("lang", "text")
 
     def features(batches):
         for batch in batches:

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shopgauge.llm import language
 
@@ -57,3 +58,15 @@ def test_many_families(spark):
     model = language.learn(frame)
     assert sorted(map(tuple, model.families)) == [("en",), ("es", "fr"), ("qq",)]
     assert all(r.lang == r.lang_pred for r in language.identify(frame, model).collect())
+
+
+def test_copies_teach_once(spark, documents):
+    """A text that comes first by hash, a thousand times, takes one place in the sample and not all."""
+    texts = documents.selectExpr("lang", "text", "xxhash64(text) as h").where("lang is not null and text is not null")
+    first = {r.lang: r.text for r in texts.groupBy("lang").agg(F.min_by("text", "h").alias("text")).collect()}
+    hot = spark.createDataFrame([(lang, text) for lang, text in first.items() for _ in range(1000)], "lang string, text string")
+    base = texts.select("lang", "text")
+    plain = language.learn(base, per_language=40)
+    model = language.learn(base.unionByName(hot), per_language=40)
+    assert (model.families, model.pairs) == (plain.families, plain.pairs)
+    assert np.array_equal(model.weights, plain.weights)
