@@ -140,14 +140,25 @@ def fit(bags: list[tuple[np.ndarray, int]], hidden: int = 16, attention: int = 8
     return model
 
 
+def sampled(labels: DataFrame, per_label: int, slots: int = 64) -> DataFrame:
+    """doc_id, quality: the `per_label` rows of each quality with the smallest hash of their id.
+
+    First cut in each of `slots` parts of a quality, so that no task sorts all rows of one and the last cut has a bound.
+    """
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    known = labels.select("doc_id", "quality").where("doc_id is not null and quality in (0, 1)")
+    slotted = known.withColumn("_slot", F.pmod(F.hash("doc_id"), F.lit(slots)))
+    for keys in (["quality", "_slot"], ["quality"]):
+        slotted = slotted.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("_n") <= per_label)
+    return slotted.select("doc_id", "quality")
+
+
 def learn(documents: DataFrame, labels: DataFrame, per_label: int = 1200) -> Model:
     """Fit on at most `per_label` documents of each value of labels.quality, those with the smallest hash of their id; whole texts.
 
     Labels or ids that are NULL teach nothing; a NULL text is an empty one.
     """
-    order = W.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    known = labels.select("doc_id", "quality").where("doc_id is not null and quality in (0, 1)")
-    sample = known.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_label).drop("_n")
+    sample = sampled(labels, per_label)
     # At most two times per_label narrow rows, so the broadcast has a bound.
     taught = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text")
 

@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -71,3 +72,15 @@ def test_edges(spark, labelled):
     assert len(rows) == 5 and all(0 <= r.score <= 1 for r in rows)
     assert rows[0] == rows[4] and rows[1].score == rows[2].score
     assert quality.score(docs.limit(0), model).collect() == []
+
+
+def test_sample_is_cut_before_a_task_has_a_label(spark):
+    rows = spark.range(40_000).selectExpr("id as doc_id", "cast(id % 10 = 0 as int) as quality")
+    rows = rows.unionByName(spark.createDataFrame([(None, 1), (7, None), (3, 0), (3, 0)], "doc_id long, quality int"))
+    got = quality.sampled(rows, 1200, slots=8)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    known = rows.where("doc_id is not null and quality is not null").selectExpr("quality", "xxhash64(doc_id) h", "doc_id").collect()
+    want = [(r.doc_id, q) for q in (0, 1) for r in sorted((r for r in known if r.quality == q), key=lambda r: (r.h, r.doc_id))[:1200]]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    dealt = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    assert len(dealt) == 2 and ["_slot" in d for d in dealt] == [False, True]
