@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgauge.llm import anchors, decontaminate, jaccard, language, packing, pages, quality, rollup, suffixes, topk
+from shopgauge.llm import anchors, decontaminate, jaccard, language, lockstep, packing, pages, pii, quality, repair, rollup, suffixes, topk
 from shopgauge.llm.common import held_out, ship, written
 from shopgauge.sources.shared import work_folder
 from shopgauge.sources.tables import load
@@ -16,6 +16,7 @@ from shopgauge.sources.tables import load
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -131,3 +132,36 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without the bytes of 50-byte strings that an earlier document has."""
     documents = load(spark, folder, "documents").select("doc_id", "text")
     return suffixes.digest(suffixes.strip(documents, suffixes.repeats(documents)))
+
+
+@_query
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of tokens between the common cuts of two tokenizers, and how the links in them compare over all documents."""
+    aligned = lockstep.numbered(lockstep.align(load(spark, folder, "documents"), VOCABULARY, PIECES))
+    return lockstep.scored(aligned)
+
+
+@_query
+def op12_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document: the base rules' spans and those added by the learned classifier."""
+    found = pii.find(load(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+@_query
+def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Repair of all conversations after damage: what was wrong, what the repair costs, and its result."""
+    return repair.audits(repair.repair(repair.damaged(load(spark, folder, "conversations"))))
