@@ -35,8 +35,7 @@ _FAR_DOMAIN = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?:\.| ?[(\[{] ?(?:dot|DOT|\.) ?
 _FAR_IP = re.compile(r"(?<![0-9.])[0-9]{1,3}(?: ?[(\[{](?:dot|\.)[)\]}] ?|\.)[0-9]{1,3}(?: ?[(\[{](?:dot|\.)[)\]}] ?|\.)[0-9]{1,3}(?: ?[(\[{](?:dot|\.)[)\]}] ?|\.)[0-9]{1,3}(?![0-9])")
 _IP6 = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
 _GROUP = re.compile(r"(?<![0-9])[0-9]{14,19}(?![0-9])|(?<![0-9])[0-9]{4}([ ._/-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])|(?<![0-9])3[0-9]{3}([ ._/-])[0-9]{6}\2[0-9]{5}(?![0-9])")
-_FAR_DIGIT = re.compile("[0-9]")
-_PHONE = re.compile(r"(?:\+[0-9]{1,3}[ .-]?|(?<![0-9])00[1-9][0-9]{0,2}[ .-]?|(?<![0-9+(]))(?:\([0-9]{2,5}\)[ .-]?|[0-9]{2,5}[ ./-])[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9])")
+_FAR_PHONE = re.compile(r"(?:\+[0-9]{1,3}[ .-]?|(?<![0-9])00[1-9][0-9]{0,2}[ .-]?|(?<![0-9+(]))(?:\([0-9]{2,5}\)[ .-]?|[0-9]{2,5}[ ./-])[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9])")
 
 # Gazetteers. End domains, calling codes, first digits of issuers, words around personal data in four languages.
 _ENDS = frozenset("com org net edu gov mil int info biz io co eu us uk de fr es it nl be at ch pt pl se no dk fi ie ca au nz jp cn in br mx ar cl ru".split())
