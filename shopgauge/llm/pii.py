@@ -9,6 +9,7 @@ labels train a classifier over shape, context and votes, and what it takes is ad
 
 from __future__ import annotations
 
+import bisect
 import re
 import zlib
 from collections.abc import Iterator
@@ -303,10 +304,12 @@ def decide(found: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
 
     def chosen(spans: list[dict]) -> list[dict]:
         scored = [{**{c: s[c] for c in ("kind", "start", "end", "base")}, "score": 1.0 if s["base"] else model.score(s["features"])} for s in spans]
-        taken: list[dict] = []
+        taken, starts = [], []
         for s in sorted((s for s in scored if not s["base"] and s["score"] >= least), key=lambda s: (-s["score"], s["start"], s["kind"])):
-            if all(s["end"] <= t["start"] or t["end"] <= s["start"] for t in taken):
-                taken.append(s)
+            at = bisect.bisect(starts, s["start"])
+            if (at == 0 or taken[at - 1]["end"] <= s["start"]) and (at == len(taken) or s["end"] <= starts[at]):
+                starts.insert(at, s["start"])
+                taken.insert(at, s)
         return sorted([s for s in scored if s["base"]] + taken, key=lambda s: (s["start"], s["kind"]))
 
     item = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_()), ("score", pa.float64())])

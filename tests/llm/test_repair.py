@@ -1,0 +1,177 @@
+import functools
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from shopgauge.llm import repair as rp
+
+SCHEMA = "conv_id long, turn long, role string, text string, extra int"
+WHITE = " \t\n\x0b\x0c\r"
+INITIAL = {1: "s", 2: "u", 3: "a"}
+
+
+def cheapest(rows):
+    """(cost, least edits) by trying everything, from the end: (initial, fault) per row."""
+
+    @functools.cache
+    def rest(i, place):
+        if i == len(rows):
+            return {0: (0, ""), 3: (0, ""), 2: (3, "I"), 1: (6, "II")}[place]
+        initial, fault = rows[i]
+        ways, ahead, price = [], "", 0
+        for _ in range(4):
+            due = 3 if place == 2 else 2
+            ends = [("D", place, 4)]
+            if fault not in ("blank", "duplicate"):
+                more = 3 * (fault == "truncated")
+                ends.append(("R", due, 3 + more))
+                if (initial, place) == ("s", 0) or (initial == "u" and place != 2) or (initial, place) == ("a", 2):
+                    ends.append(("K", "xsua".index(initial), more))
+            for edit, after, cost in ends:
+                later = rest(i + 1, after)
+                ways.append((price + cost + later[0], ahead + edit + later[1]))
+            place, ahead, price = due, ahead + "I", price + 3
+        return min(ways)
+
+    return rest(0, 0)
+
+
+def search(rows):
+    survivors, found = rp.Survivors(), []
+    for row in rows:
+        found += survivors.add(*row)
+    found += survivors.end()
+    assert [n for n, _ in found] == sorted({n for n, _ in found})
+    return "".join(edits for _, edits in found)
+
+
+ROWS = st.lists(st.tuples(st.sampled_from(["s", "u", "a", "x", ""]), st.sampled_from([None, None, None, *["truncated"] * 2, "blank", "duplicate"])), max_size=14)
+
+
+@settings(max_examples=600, deadline=None)
+@given(ROWS)
+def test_search_finds_the_least_of_the_cheapest(rows):
+    assert search(rows) == cheapest(tuple(rows))[1]
+
+
+def test_long_ties_against_all_ways():
+    rng = random.Random(4)
+    for _ in range(400):
+        rows = tuple((rng.choice("uuua"), None) for _ in range(rng.randrange(10, 40)))
+        assert search(rows) == cheapest(rows)[1]
+
+
+def test_certain_edits_leave_and_their_nodes_are_freed():
+    survivors = rp.Survivors()
+    for k in range(10_000):
+        survivors.add("ua"[k % 2], None)
+        nodes, layer = 0, [survivors.root]
+        while layer:
+            nodes += len(layer)
+            layer = [c for n in layer for c in n.children]
+        assert nodes <= 12
+    # A run of one role stays open to its end, which then decides all of it.
+    open_run = rp.Survivors()
+    assert sum(len(open_run.add("u", None)) for _ in range(1001)) <= 2
+    assert len(open_run.end()) >= 999
+
+
+def plain(conversations):
+    """The whole contract, conversation by conversation."""
+    turns = defaultdict(list)
+    for conv, turn, role, text in conversations:
+        role, text = " " if role is None else role, " " if text is None else text
+        turns[conv]
+        code = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if code == 0:
+            continue
+        text = "" if code == 1 else re.sub("[.!?]", "", text) if code == 2 else text
+        turns[conv] += [(turn, "user" if code == 4 else role, text)] * (2 if code == 3 else 1)
+    out = {}
+    for conv, rows in turns.items():
+        rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+        seen, marked = set(), []
+        for _, role, text in rows:
+            bare = text.strip(WHITE)
+            fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else None
+            seen.add((role, text))
+            marked.append((role[:1], fault))
+        known = [t for t, _, _ in rows if t is not None]
+        cost, audit = cheapest(tuple(marked))
+        lines, place, at = [], 0, 0
+        for edit in audit:
+            due = {2: ("assistant", 3)}.get(place, ("user", 2))
+            if edit == "I":
+                lines.append(due[0] + ":")
+                place = due[1]
+                continue
+            _, role, text = rows[at]
+            at += 1
+            if edit != "D":
+                lines.append(f"{role if edit == 'K' else due[0]}:{text}")
+                place = due[1] if edit == "R" else "xsua".index(role[0])
+        initials = [i for i, _ in marked]
+        out[conv] = (
+            max(known) - min(known) + 1 - len(set(known)) if known else 0,
+            *[sum(f == kind for _, f in marked) for kind in ("blank", "duplicate", "truncated")],
+            sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])),
+            cost,
+            audit,
+            hashlib.sha256("\n".join(lines).encode()).hexdigest(),
+        )
+    return out
+
+
+def audited(frame):
+    rows = rp.audits(rp.repair(rp.damaged(frame))).collect()
+    names = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    assert len({r.conv_id for r in rows}) == len(rows)
+    return {r.conv_id: tuple(r[n] for n in names) for r in rows}
+
+
+def test_random_conversations_with_nulls_ties_and_repeats(spark):
+    rng = random.Random(8)
+    texts = ["Yes.", "no", "Why? \n", "", " \t", None, "é!", "same.", "same.", "One. Two"]
+    rows = []
+    for conv in [None, *range(150)]:
+        for _ in range(rng.randrange(1, 12)):
+            turn = rng.choice([None, *range(8), 30])
+            rows += [(conv, turn, rng.choice(["user", "assistant", "system", "tool", "", None, "User"]), rng.choice(texts), 1)] * rng.choice([1, 1, 1, 2])
+    rng.shuffle(rows)
+    assert audited(spark.createDataFrame(rows, SCHEMA).repartition(5)) == plain([r[:4] for r in rows])
+
+
+def test_one_long_conversation_and_one_long_text(spark):
+    rng = random.Random(9)
+    rows = [(1, k, rng.choice(["user", "user", "assistant"]), f"text {k}.", 0) for k in range(700)]
+    rows += [(2, 0, "user", "word " * 300_000 + ".", 0), (2, 1, "assistant", " " * 500_000, 0)]
+    assert audited(spark.createDataFrame(rows, SCHEMA)) == plain([r[:4] for r in rows])
+
+
+def test_empty_table(spark):
+    assert audited(spark.createDataFrame([], SCHEMA)) == {}
+
+
+def test_repaired_turns_are_well_formed(spark):
+    rows = [(c, t, r, "Fine." + str(t) * (t % 2) + ".", 0) for c in range(60) for t, r in enumerate(random.Random(c).choices(["user", "assistant", "system"], k=6))]
+    edits = rp.repair(rp.damaged(spark.createDataFrame(rows, SCHEMA))).collect()
+    by_conv = defaultdict(str)
+    for r in edits:
+        by_conv[r.conv_id] += (r.role or "")[:1]
+        assert (r.role is None) == (r.edit in ("D", None)) and (r.edit != "I" or r.text == "")
+    assert len(by_conv) == 60 and all(re.fullmatch("(s?(ua)+)?", x) for x in by_conv.values())
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01"])
+def test_query(spark, folder):
+    from shopgauge.llm.queries import QUERIES
+
+    rows = QUERIES["op13_conversations"](spark, folder).collect()
+    table = spark.read.parquet(f"{folder}/conversations.parquet").collect()
+    assert {r.conv_id: tuple(r)[1:] for r in rows} == plain([(r.conv_id, r.turn, r.role, r.text) for r in table])
