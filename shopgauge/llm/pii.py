@@ -232,10 +232,14 @@ class Model:
         return float(1 / (1 + np.exp(-self.weights[features].sum())))
 
 
-#: Beliefs about a labeler before any candidate is seen, as shares: it votes no, nothing, yes on a span of label 0, of label 1. The
-#: base rules are right by definition, which is what keeps the two labels from changing places.
+#: Beliefs about a labeler before any candidate is seen, as shares: it votes no, nothing, yes on a span of label 0, of label 1. That
+#: the base rules say yes to nothing of label 0 is fixed, which keeps the two labels from changing places.
 _BELIEF = np.tile(np.array([[0.5, 0.4, 0.1], [0.1, 0.4, 0.5]]), (len(LABELERS), 1, 1))
-_BELIEF[0] = [[0.001, 0.998, 0.001], [0.001, 0.3, 0.699]]
+_BELIEF[0] = [[0.001, 0.998, 0.001], [0.001, 0.5, 0.499]]
+#: A span of label 1 hardly ever fails the check of its kind (check digit, size of the parts). That belief weighs as much as all spans.
+_BELIEF[3, 1] = [0.01, 0.3, 0.69]
+_WEIGHT = np.ones((len(LABELERS), 2, 1))
+_WEIGHT[3, 1] = 10
 
 
 def reliabilities(counts: dict[tuple[int, str], int], rounds: int = 100, prior: float = 0.1) -> Model:
@@ -257,8 +261,9 @@ def reliabilities(counts: dict[tuple[int, str], int], rounds: int = 100, prior:
                 break
             before = label
             for y, part in enumerate((1 - label, label)):
-                table[1:, y] = np.einsum("r,rlv->lv", n * part, seen)[1:] + weight * _BELIEF[1:, y]
+                table[:, y] = np.einsum("r,rlv->lv", n * part, seen) + weight * _WEIGHT[:, y] * _BELIEF[:, y]
                 table[:, y] /= table[:, y].sum(1, keepdims=True)
+            table[0, 0] = _BELIEF[0, 0]
             share = float((n @ label + weight / 2) / (n.sum() + weight))
         model.reliability[kind], model.share[kind] = table, share
     return model
