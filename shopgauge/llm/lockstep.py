@@ -21,7 +21,7 @@ from shopgauge.llm.tokens import word_cuts
 from shopgauge.llm.words import byte_vocabulary, piece_vocabulary, slices
 
 #: Bytes of text that are worked on at a time, and of a lane.
-BLOCK, LANE = 1 << 20, 1 << 10
+BLOCK, LANE = 1 << 21, 1 << 9
 #: A pair of ids is one number: the A id times 2^21 and the B id.
 _SHIFT = 21
 _LETTER = np.zeros(256, bool)

@@ -3,23 +3,34 @@
 from __future__ import annotations
 
 import functools
+import itertools
+import json
 import os
 from collections.abc import Callable
 
 import numpy as np
 
 
+class _Index(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = at = len(self)
+        return at
+
+
 class WordTable:
-    """Ids of words by the words' own bytes, in one flat array. `bound` limits the bytes of the words that are remembered; when it is
-    reached the table starts anew, so a process that lives long holds no more than that and one block's words."""
+    """Ids of words by the words' own bytes, in one flat array. `bound` limits the bytes of the words that are remembered; beyond it the
+    table starts anew, so a process that lives long holds no more than that and one block's words."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], sizes: np.ndarray | None = None, text: Callable[[int], bytes] | None = None, bound: int = 4 << 20):
-        """With `sizes` (bytes of each id) and `text` (bytes of an id), words whose ids don't spell them are marked as such."""
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], sizes: np.ndarray | None = None, text: Callable[[int], bytes] | None = None, bound: int = 4 << 20):
+        """`encode` gives all ids of the words and how many each word has. With `sizes` (bytes of each id) and `text` (bytes of an id),
+        words whose ids don't spell them are marked as such."""
         self.encode, self.sizes, self.text, self.bound = encode, sizes, text, bound
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index = _Index()
         self.ids = np.zeros(0, np.int32)
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
@@ -27,28 +38,30 @@ class WordTable:
         self.held = 0
 
     def _learn(self, words: list[bytes]) -> None:
-        found = self.encode(words)
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.int32, int(counts.sum()))
-        first = np.cumsum(counts) - counts + len(self.ids)
-        self.index.update(zip(words, range(len(self.first), len(self.first) + len(words))))
-        self.ids, self.first, self.count = np.concatenate([self.ids, flat]), np.concatenate([self.first, first]), np.concatenate([self.count, counts])
+        flat, counts = self.encode(words)
+        ends = np.cumsum(counts)
+        self.first = np.concatenate([self.first, ends - counts + len(self.ids)])
+        self.ids, self.count = np.concatenate([self.ids, flat.astype(np.int32)]), np.concatenate([self.count, counts])
         if self.text:
-            spelt = np.fromiter((b"".join(map(self.text, ids)) == w for w, ids in zip(words, found)), bool, len(words))
+            # All at once, since as good as always all are spelt; the sizes make sure that no word borrows from its neighbour.
+            sizes = np.concatenate([[0], np.cumsum(self.sizes[flat])])[ends]
+            if np.array_equal(sizes, np.cumsum([*map(len, words)])) and b"".join(map(self.text, flat.tolist())) == b"".join(words):
+                spelt = np.ones(len(words), bool)
+            else:
+                of = np.split(flat, ends[:-1])
+                spelt = np.fromiter((b"".join(map(self.text, ids.tolist())) == w for w, ids in zip(words, of)), bool, len(words))
             self.spelt = np.concatenate([self.spelt, spelt])
         self.held += sum(map(len, words))
 
     def places(self, words: list[bytes]) -> np.ndarray:
         """Index of every word. Valid until the next call."""
-        found = list(map(self.index.get, words))
-        if None in found:
-            new = list(dict.fromkeys(w for w, i in zip(words, found) if i is None))
-            if self.held + sum(map(len, new)) > self.bound and self.index:
-                self._clear()
-                new = list(dict.fromkeys(words))
-            self._learn(new)
-            found = map(self.index.__getitem__, words)
-        return np.fromiter(found, np.int64, len(words))
+        if self.held > self.bound:
+            self._clear()
+        known = len(self.index)
+        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        if len(self.index) > known:
+            self._learn(list(itertools.islice(reversed(self.index), len(self.index) - known))[::-1])
+        return at
 
     def tokens(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the words one after another, number of ids of each word)."""
@@ -71,22 +84,64 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def flattened(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids one after another, and how many each list has."""
+    counts = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter(itertools.chain.from_iterable(found), np.int64, int(counts.sum())), counts
+
+
+#: Words up to this many bytes are encoded in one go; the time that takes grows with the square of a word.
+SHORT = 200
+
+
 @functools.lru_cache(maxsize=2)
 def byte_vocabulary(path: str) -> WordTable:
-    """Words of a byte-level BPE vocabulary file (JSON); strings of special tokens are plain text. One table per process."""
+    """Words of a byte-level BPE vocabulary file (JSON); strings of special tokens are plain text. One table per process.
+
+    In vocabularies whose merges stand in the order of their ids, short words are merged by those ranks, many in one call; longer ones,
+    and those of other vocabularies, go through the file's own tokenizer. Both give the same ids.
+    """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    import tiktoken
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     byte = byte_level()
+    vocabulary = tokenizer.get_vocab(with_added_tokens=False)
     spelling = [b""] * tokenizer.get_vocab_size()
-    for entry, i in tokenizer.get_vocab(with_added_tokens=False).items():
+    for entry, i in vocabulary.items():
         spelling[i] = bytes(byte[c] for c in entry) if all(c in byte for c in entry) else entry.encode()
     sizes = np.fromiter(map(len, spelling), np.int64, len(spelling))
-
-    def encode(words: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in json.loads(tokenizer.to_str())["model"]["merges"]]
+    merged = [vocabulary["".join(m)] for m in merges]
+    quick = None
+    if merged == sorted(set(merged)):
+        ranks = {spelling[i]: i for i in [*merged, *(vocabulary[c] for c in byte if c in vocabulary)]}
+        if len(ranks) == len(merged) + 256:
+            quick = tiktoken.Encoding("words", pat_str="[^\0]+", mergeable_ranks=ranks, special_tokens={})
+
+    def slowly(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return flattened([e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)])
+
+    def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        short = np.fromiter((len(w) <= SHORT and 0 not in w for w in words), bool, len(words))
+        if quick is None or not short.any():
+            return slowly(words)
+        some = list(itertools.compress(words, short))
+        ids = quick.encode_to_numpy(b"\0".join(some).decode()).astype(np.int64)
+        borders = np.searchsorted(np.cumsum(sizes[ids]), np.cumsum([*map(len, some)])) + 1
+        counts = np.diff(borders, prepend=0)
+        if short.all():
+            return ids, counts
+        # The others are put between them.
+        rest, rest_counts = slowly(list(itertools.compress(words, ~short)))
+        both = np.zeros(len(words), np.int64)
+        both[short], both[~short] = counts, rest_counts
+        out = np.empty(int(both.sum()), np.int64)
+        own = np.repeat(short, both)
+        out[own], out[~own] = ids, rest
+        return out, both
 
     return WordTable(encode, sizes, spelling.__getitem__)
 
@@ -107,8 +162,8 @@ def piece_vocabulary(path: str) -> WordTable:
     sizes = np.fromiter(map(len, spelling), np.int64, len(spelling))
     blank = processor.piece_to_id("▁")
 
-    def encode(words: list[bytes]) -> list[list[int]]:
+    def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         # The processor puts back the blank that is cut off here, but gives nothing at all for an empty text.
-        return [ids or [blank] for ids in processor.encode([w[1:].decode() for w in words], num_threads=1)]
+        return flattened([ids or [blank] for ids in processor.encode([w[1:].decode() for w in words], num_threads=1)])
 
     return WordTable(encode, sizes, spelling.__getitem__)
