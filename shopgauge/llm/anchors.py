@@ -7,6 +7,7 @@ grouped. Around anchors that two documents share, the full runs are extended and
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -141,9 +142,21 @@ def repeats(documents: DataFrame, length: int = 50) -> DataFrame:
     )
 
 
-def strip(documents: DataFrame, found: DataFrame, length: int = 50) -> DataFrame:
+_WORD = re.compile(rb"[^ \t-\r]+")
+
+
+def _cut(text: bytes, stay: np.ndarray) -> bytes:
+    """The text without the words that don't stay, each with the white space after it; trailing white space goes with the last word."""
+    begin = [m.start() for m in _WORD.finditer(text)]
+    ends = [*begin[1:], len(text)]
+    parts = [text[: begin[0]] if begin else text, *(text[a:b] for a, b, s in zip(begin, ends, stay.tolist()) if s)]
+    return b"".join(parts) if stay[-1:].all() else b"".join(parts).rstrip(b" \t\n\x0b\x0c\r")
+
+
+def strip(documents: DataFrame, found: DataFrame, length: int = 50, spacing: bool = False) -> DataFrame:
     """All columns of documents and kept_text (the words that stay, joined by one blank), n_words, n_removed.
 
+    With `spacing` the white space between words that stay is left as it is, so a text of which nothing is removed is unchanged.
     A NULL text has no words. Columns with the added names are replaced.
     """
     known = found.select(F.col("doc_id").alias("_repeats_id"), F.struct("copy", "starts").alias("_repeats"))
@@ -153,7 +166,8 @@ def strip(documents: DataFrame, found: DataFrame, length: int = 50) -> DataFrame
         texts, copies, starts = column.field("text"), column.field("copy").to_pylist(), column.field("starts")
         kept_texts, words, removed = [], [], []
         for k in range(len(column)):
-            text = (texts[k].as_py() or "").encode().split()
+            whole = (texts[k].as_py() or "").encode()
+            text = whole.split()
             n = len(text)
             gone = np.zeros(n + 1, np.int64)
             if copies[k]:
@@ -165,10 +179,13 @@ def strip(documents: DataFrame, found: DataFrame, length: int = 50) -> DataFrame
                 np.add.at(gone, place, 1)
                 np.add.at(gone, place + length, -1)
             stay = np.cumsum(gone[:n]) == 0
-            left = text if stay.all() else [text[i] for i in np.flatnonzero(stay).tolist()]
-            kept_texts.append(b" ".join(left).decode())
+            left = int(stay.sum())
+            if spacing:
+                kept_texts.append((whole if left == n else _cut(whole, stay)).decode())
+            else:
+                kept_texts.append(b" ".join(text if left == n else [text[i] for i in np.flatnonzero(stay).tolist()]).decode())
             words.append(n)
-            removed.append(n - len(left))
+            removed.append(n - left)
         return [pa.array(kept_texts, pa.string()), pa.array(words, pa.int64()), pa.array(removed, pa.int64())]
 
     inputs = F.struct(F.col("text").cast("string").alias("text"), F.col("_repeats.copy").alias("copy"), F.col("_repeats.starts").alias("starts"))

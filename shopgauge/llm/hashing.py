@@ -2,16 +2,21 @@
 
 A text column is seen as one run of UTF-8 bytes plus the offsets of its texts. Every byte maps to a fixed random number, and the
 hash of a run is a polynomial of those numbers modulo 2^64, read from prefix sums and mixed at the end. Two independent
-families (0 and 1) give 128 bits where equality decides a result.
+families (0 and 1) give 128 bits where equality decides a result. Polynomials modulo a power of two can't tell some long runs apart
+whatever the base (the two orders of Thue and Morse, from 1,024 items on), so runs above LONGEST items are hashed by BLAKE2.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+#: Items of the longest run that a polynomial stands for, and of the stretch whose prefix sums are held at a time.
+LONGEST, STRETCH = 128, 1 << 19
+
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = [_RANDOM.integers(0, 2**64, 256, dtype=np.uint64) for _ in range(2)]
 _BASE = [int(x) | 1 for x in _RANDOM.integers(2**62, 2**63, 2)]
@@ -26,7 +31,7 @@ LOWER[65:91] += 32
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64. Kept per process and grown by doubling."""
+    """base^0 .. base^(n-1) modulo 2^64. Kept per process and grown by doubling, to the size of a stretch and a run at most."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
         size = 1024 if have is None else len(have)
@@ -50,15 +55,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _prefix(values: np.ndarray, base: int) -> np.ndarray:
-    out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(base, len(values)), out=out[1:])
-    return out
-
-
-def _spans(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
+def _spans(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
+    """Hash of the values from each start to each end, a stretch of values at a time, so that no text makes the tables grow."""
+    if len(start) > 1 and (np.diff(start) < 0).any():
+        order = np.argsort(start, kind="stable")
+        out = np.empty(len(start), np.uint64)
+        out[order] = _spans(values, start[order], end[order], base)
+        return out
     inverse = pow(base, -1, 2**64)
-    return mix((prefix[end] - prefix[start]) * powers(inverse, len(prefix))[start])
+    out = np.zeros(len(start), np.uint64)
+    short = end - start <= LONGEST
+    low = 0
+    while low < len(start):
+        first = int(start[low])
+        high = int(np.searchsorted(start, first + STRETCH))
+        near = np.flatnonzero(short[low:high]) + low
+        if len(near):
+            part = values[first : int(end[near].max())]
+            prefix = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(part * powers(base, len(part)), out=prefix[1:])
+            a, b = start[near] - first, end[near] - first
+            out[near] = mix((prefix[b] - prefix[a]) * powers(inverse, len(prefix))[a])
+        low = high
+    key = base.to_bytes(8, "little")
+    for k in np.flatnonzero(~short).tolist():
+        body = hashlib.blake2b(np.ascontiguousarray(values[int(start[k]) : int(end[k])]), digest_size=8, key=key)
+        out[k] = int.from_bytes(body.digest(), "little")
+    return out
 
 
 def blocks(column: pa.Array, size: int = 1 << 19) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -90,17 +113,17 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, family: int = 0) -> np.ndarray:
-    return _spans(_prefix(_BYTE[family][data], _BASE[family]), start, end, _BASE[family])
+    return _spans(_BYTE[family][data], start, end, _BASE[family])
 
 
 def runs(hashes: np.ndarray, start: np.ndarray, length: int, family: int = 0) -> np.ndarray:
     """Hash of the `length` items from each start on."""
-    return _spans(_prefix(hashes, _RUN_BASE[family]), start, start + length, _RUN_BASE[family])
+    return _spans(hashes, start, start + length, _RUN_BASE[family])
 
 
 def spans(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, family: int = 0) -> np.ndarray:
     """Hash of the items from each start to each end."""
-    return _spans(_prefix(hashes, _RUN_BASE[family]), start, end, _RUN_BASE[family])
+    return _spans(hashes, start, end, _RUN_BASE[family])
 
 
 def byte_values(data: np.ndarray, family: int = 0) -> np.ndarray:

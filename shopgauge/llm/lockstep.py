@@ -21,7 +21,7 @@ from shopgauge.llm.tokens import word_cuts
 from shopgauge.llm.words import byte_vocabulary, piece_vocabulary, slices
 
 #: Bytes of text that are worked on at a time, and of a lane.
-BLOCK, LANE = 1 << 21, 1 << 9
+BLOCK, LANE = 1 << 20, 1 << 9
 #: A pair of ids is one number: the A id times 2^21 and the B id.
 _SHIFT = 21
 _LETTER = np.zeros(256, bool)
@@ -211,6 +211,7 @@ def align(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
                         part = None
                 else:
                     yield _rows(ids.slice(row, len(offsets) - 1), aligner, found)
+            pa.default_memory_pool().release_unused()
 
     text = F.when(F.col("text") != "", F.concat(F.lit(" "), F.col("text").cast("string")))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), *T.StructType.fromDDL(ALIGNED)])

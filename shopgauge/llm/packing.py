@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopgauge.llm.common import kept
-from shopgauge.llm.tokens import shared_encoder
+from shopgauge.llm.tokens import Encoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -27,25 +27,27 @@ def pieces(documents: DataFrame, vocabulary: str, size: int = 2048, end_id: int
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared_encoder(vocabulary)
-        end = np.array([end_id], "<u4").tobytes()
+        encoder = Encoder(vocabulary)
+        end = np.array([end_id], np.int32)
         for batch in batches:
             rows: list[tuple] = []
-            parts: list[bytes] = []
+            parts: list[np.ndarray] = []
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
-                ids += end
-                total = len(ids) // 4
-                for start in range(0, total, size):
-                    part = ids[4 * start : 4 * (start + size)]
-                    rows.append((doc, start, len(part) // 4, zlib.crc32(part), total))
+                ids = np.concatenate([ids, end])
+                for start in range(0, len(ids), size):
+                    part = ids[start : start + size]
+                    rows.append((doc, start, len(part), zlib.crc32(part.astype("<u4")), len(ids)))
                     if with_ids:
                         parts.append(part)
             columns = [pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * 5
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
             if with_ids:
-                columns.append(pa.array([np.frombuffer(p, "<u4").astype(np.int32) for p in parts], pa.list_(pa.int32())))
+                ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *parts]))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
+            del rows, parts, columns
+            pa.default_memory_pool().release_unused()
 
     schema = PIECES + (", ids array<int>" if with_ids else "")
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, schema)

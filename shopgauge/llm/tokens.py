@@ -1,14 +1,13 @@
 """Token ids of whole texts with a byte-level BPE vocabulary file, fast enough for a whole corpus.
 
 Byte-level BPE first cuts a text into words by the pattern of the vocabulary and then encodes every word on its own. The cuts are
-found here for many texts at once with NumPy; only words not seen before in the process go through the tokenizer.
+found here for many texts at once with NumPy; only words not seen before go through the tokenizer.
 """
 
 from __future__ import annotations
 
 import functools
 import os
-import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -16,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 from shopgauge.llm import hashing
+from shopgauge.llm.words import byte_vocabulary, slices
 
 _SPACES = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
@@ -63,53 +63,33 @@ def word_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 @functools.lru_cache(maxsize=2)
-def shared_encoder(path: str) -> Encoder:
-    """The encoder of this process, with the words it has learned from earlier tasks."""
-    return Encoder(path)
+def _special(path: str):
+    """(tokenizer, strings of its special tokens): for texts that hold one."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return tokenizer, [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit numbers. `cache` bounds the words remembered per process."""
-
-    def __init__(self, path: str, cache: int = 250_000):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[bytes, bytes] = {}
-        self.cache = cache
-
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        found = list(map(self.words.get, words))
-        if None in found:
-            new = list({w for w, i in zip(words, found) if i is None})
-            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            learned = {w: struct.pack(f"<{len(e.ids)}I", *e.ids) for w, e in zip(new, encoded)}
-            found = [learned[w] if i is None else i for w, i in zip(words, found)]
-            if len(self.words) + len(learned) > self.cache:
-                self.words.clear()
-            self.words.update(learned)
-        return found
-
-    def encode(self, column: pa.Array) -> Iterator[bytes]:
-        """For each text in order, its ids; NULL has none."""
+    """Ids of texts; strings of special tokens in a text become those tokens. Words are remembered per process, up to a bound in bytes."""
+
+    def __init__(self, path: str):
+        self.table = byte_vocabulary(path)
+        self.tokenizer, self.special = _special(path)
+
+    def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """For each text in order, its ids as 32-bit numbers; NULL has none."""
         for _, data, offsets in hashing.blocks(column, 1 << 20):
             text = data.tobytes()
             cuts = word_cuts(data, offsets)
-            ends = np.append(cuts[1:], len(text))
-            # Only the different words of a block are looked up; a second hash makes sure that equal hashes are equal words.
-            hashes = hashing.word_hashes(data, cuts, ends)
-            _, pick, of = np.unique(hashes, return_index=True, return_inverse=True)
-            second = hashing.word_hashes(data, cuts, ends, 1)
-            if not np.array_equal(second[pick][of], second):
-                pick = of = np.arange(len(cuts))
-            ids = self._ids([text[a:b] for a, b in zip(cuts[pick].tolist(), ends[pick].tolist())])
-            of = of.tolist()
-            border = np.searchsorted(cuts, offsets).tolist()
+            ids, counts = self.table.tokens(self.table.places(slices(text, cuts)))
+            border = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(cuts, offsets)]
+            special = any(s in text for s in self.special)
             for k in range(len(offsets) - 1):
-                whole = text[offsets[k] : offsets[k + 1]]
-                if any(s in whole for s in self.special):
-                    yield np.array(self.tokenizer.encode(whole.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+                whole = text[offsets[k] : offsets[k + 1]] if special else b""
+                if special and any(s in whole for s in self.special):
+                    yield np.array(self.tokenizer.encode(whole.decode(), add_special_tokens=False).ids, np.int32)
                 else:
-                    yield b"".join([ids[i] for i in of[border[k] : border[k + 1]]])
+                    yield ids[border[k] : border[k + 1]]

@@ -60,6 +60,16 @@ def test_against_every_run(spark, length):
     assert run(spark, docs, length) == brute(docs, length)
 
 
+def test_spacing_stays(spark):
+    run = " \n".join(f"w{i}" for i in range(60))
+    docs = [(1, run), (2, f"\tfirst\n\n{run}\n\n  last  one \n"), (3, "a  b\n\nc \t"), (4, f" {run} \n"), (5, None), (6, " \n")]
+    frame = spark.createDataFrame([(*d, "x", 1) for d in docs], SCHEMA)
+    rows = {r.doc_id: r for r in anchors.strip(frame, anchors.repeats(frame), spacing=True).collect()}
+    assert rows[1].kept_text == run and rows[3].kept_text == "a  b\n\nc \t"
+    assert rows[2].kept_text == "\tfirst\n\nlast  one \n" and rows[2].n_removed == 60
+    assert rows[4].kept_text == "" and rows[5].kept_text == "" and rows[6].kept_text == " \n"
+
+
 def test_empty_table(spark):
     assert run(spark, [], 50) == []
 

@@ -13,7 +13,7 @@ from shopgauge.llm.tokens import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER = Tokenizer.from_file(PATH)
-ENCODER = Encoder(PATH, cache=500)
+ENCODER = Encoder(PATH)
 SCHEMA = "doc_id long, text string, length int"
 
 
@@ -26,7 +26,7 @@ def ids(text):
 def test_same_ids_as_the_tokenizer(texts):
     import pyarrow as pa
 
-    got = [np.frombuffer(b, "<u4").tolist() for b in ENCODER.encode(pa.array(texts, pa.string()))]
+    got = [b.tolist() for b in ENCODER.encode(pa.array(texts, pa.string()))]
     assert got == [ids(t) for t in texts]
 
 
@@ -34,7 +34,7 @@ def test_special_and_contractions():
     import pyarrow as pa
 
     texts = ["<|endoftext|> a", "don't we'll 'sam I'd've ''s 'S", None, "", "  x  \n\n y ", "a  b\x85c\x1cd"]
-    got = [np.frombuffer(b, "<u4").tolist() for b in ENCODER.encode(pa.array(texts, pa.string()))]
+    got = [b.tolist() for b in ENCODER.encode(pa.array(texts, pa.string()))]
     assert got == [ids(t) for t in texts]
 
 

@@ -25,8 +25,10 @@ def brute(spark, docs):
             seen.setdefault(tuple(words[i][k : k + 50]), i)
     for i, w in words.items():
         gone = {x for k in range(len(w) - 49) if seen[tuple(w[k : k + 50])] < i for x in range(k, k + 50)}
-        left[i] = " ".join(x for k, x in enumerate(w) if k not in gone)
-    left = {i: t for i, t in left.items() if t}
+        parts = re.split(r"([^\x20\x09-\x0D]+)", rows[i])
+        text = parts[0] + "".join(parts[2 * k + 1] + parts[2 * k + 2] for k in range(len(w)) if k not in gone)
+        left[i] = text.rstrip(" \t\n\x0b\x0c\r") if len(w) - 1 in gone else text
+    left = {i: t for i, t in left.items() if t.strip(" \t\n\x0b\x0c\r")}
     yield left
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     dirty = {d for d, _, _ in test_decontaminate.brute(list(left.items()), items)}
