@@ -31,9 +31,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the word runs of earlier ones, words joined by a blank; a document that has no words left goes."""
+    """Documents without the word runs of earlier ones, other text as it is; a document that has no words left goes."""
     ship(spark)
-    left = anchors.strip(docs, anchors.repeats(docs)).where("n_words > n_removed")
+    left = anchors.strip(docs, anchors.repeats(docs), spacing=True).where("n_words > n_removed")
     return left.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
 
 
