@@ -21,7 +21,7 @@ _PACKAGE = Path(__file__).resolve().parent.parent
 
 
 #: Rows of whole texts that go to a Python worker at a time, unless the session sets a number of its own.
-BATCH_ROWS = 4000
+BATCH_ROWS = 2000
 
 
 def ship(spark: SparkSession) -> SparkSession:

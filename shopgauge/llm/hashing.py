@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Items of the longest run that a polynomial stands for, and of the stretch whose prefix sums are held at a time.
-LONGEST, STRETCH = 128, 1 << 19
+LONGEST, STRETCH = 128, 1 << 16
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = [_RANDOM.integers(0, 2**64, 256, dtype=np.uint64) for _ in range(2)]

@@ -23,7 +23,7 @@ class WordTable:
     """Ids of words by the words' own bytes, in one flat array. `bound` limits the bytes of the words that are remembered; beyond it the
     table starts anew, so a process that lives long holds no more than that and one block's words."""
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], sizes: np.ndarray | None = None, text: Callable[[int], bytes] | None = None, bound: int = 4 << 20):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], sizes: np.ndarray | None = None, text: Callable[[int], bytes] | None = None, bound: int = 2 << 20):
         """`encode` gives all ids of the words and how many each word has. With `sizes` (bytes of each id) and `text` (bytes of an id),
         words whose ids don't spell them are marked as such."""
         self.encode, self.sizes, self.text, self.bound = encode, sizes, text, bound
