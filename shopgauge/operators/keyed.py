@@ -6,17 +6,12 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from shopgauge.sources.shared import pinned
-
-SLOT = "_slot"
-_CONTEXT = "_context"
+from shopgauge.operators.nulls import join_same
+from shopgauge.operators.slots import SLOT, SPLIT, cut_points, with_slots
 
+__all__ = ["first_n", "join_same", "latest_per_key", "look_back", "ranked"]
 
-def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on keys in which NULL equals NULL, keeping the key columns of the left side."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    same = F.expr(" AND ".join(f"{k} <=> _r_{k}" for k in keys))
-    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
+_CONTEXT = "_context"
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -32,30 +27,6 @@ def first_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
 
-def spread(df: DataFrame, keys: Sequence[str], order: Sequence[str], slots: int | None = None) -> DataFrame:
-    """Cut the rows, sorted by key and order, into even slots numbered in that order.
-
-    Most keys lie in one slot; a key with a large share of the rows runs over many. The slot numbers
-    come from sampled bounds, so they are pinned: all later steps must see the same ones. Without
-    `slots` their number follows the shuffle partitions and the size of the data.
-    """
-    count = [slots] if slots else []
-    ranged = df.repartitionByRange(*count, *keys, *order)
-    return pinned(ranged.withColumn(SLOT, F.spark_partition_id()))
-
-
-def _in_one_slot(rows: DataFrame) -> bool:
-    """Whether spread rows fill one partition only, so that no key can be split. Asks for no data."""
-    return rows.rdd.getNumPartitions() <= 1
-
-
-def _rows_of_split_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of the keys that lie in several slots. Each slot border splits at most one key, which bounds the broadcast."""
-    spans = rows.groupBy(*keys).agg(F.min(SLOT).alias("_first"), F.max(SLOT).alias("_last"))
-    split = spans.filter(F.col("_first") < F.col("_last")).select(*keys)
-    return join_same(rows, F.broadcast(split), keys, "left_semi")
-
-
 def look_back(
     df: DataFrame,
     keys: Sequence[str],
@@ -63,18 +34,19 @@ def look_back(
     depth: int,
     add: Callable[[WindowSpec], dict[str, Column]],
     slots: int | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
-    """Add columns that look at most `depth` rows back within a key. `order` is a total order of its rows.
+    """Add columns that look at most `depth` rows back within a key. `order` is a total order of its rows that begins with a time.
 
     Windows run slot by slot. Each slot of a split key also gets the `depth` rows before it, marked as
-    context and left out of the result, so values at its start are the same as without slots.
+    context and left out of the result, so values at its start are the same as without slots. `cuts` are
+    the slots to use, of these rows or of others of the same keys and times.
     """
-    rows = spread(df, keys, order, slots)
+    cuts = cut_points(df, keys, order[0], slots) if cuts is None else cuts
+    rows = with_slots(df, keys, order[0], cuts)
     window = W.partitionBy(*keys, SLOT).orderBy(*order)
-    if _in_one_slot(rows):
-        return rows.withColumns(add(window)).drop(SLOT)
     # The last rows of each slot are enough to know what comes before the next ones.
-    ends = first_n(_rows_of_split_keys(rows, keys), [*keys, SLOT], [F.desc(c) for c in order], depth, "_end")
+    ends = first_n(rows.filter(F.col(SPLIT)), [*keys, SLOT], [F.desc(c) for c in order], depth, "_end")
     chain = W.partitionBy(*keys).orderBy(*order)
     following = F.array(*[F.lead(SLOT, i).over(chain) for i in range(1, depth + 1)])
     context = (
@@ -85,7 +57,7 @@ def look_back(
         .drop("_end", "_following", "_target")
     )
     together = rows.withColumn(_CONTEXT, F.lit(False)).unionByName(context.withColumn(_CONTEXT, F.lit(True)))
-    return together.withColumns(add(window)).filter(~F.col(_CONTEXT)).drop(SLOT, _CONTEXT)
+    return together.withColumns(add(window)).filter(~F.col(_CONTEXT)).drop(SLOT, SPLIT, _CONTEXT)
 
 
 def ranked(
@@ -96,21 +68,13 @@ def ranked(
     newest_first: bool = False,
     slots: int | None = None,
 ) -> DataFrame:
-    """row_number of every row of a key, by `order` ascending or, with newest_first, descending.
+    """row_number of every row of a key, by `order` ascending or, with newest_first, descending. The order begins with a time.
 
-    Rows are numbered within slots and moved up by the sizes of the slots that come before, which only
-    split keys have.
+    Rows are numbered within slots and moved up by the rows of the key that lie on the other side, which
+    the cut points know.
     """
-    rows = spread(df, keys, order, slots)
-
-    def way(columns):
-        return [F.desc(c) if newest_first else F.asc(c) for c in columns]
-
-    numbered = rows.withColumn(name, F.row_number().over(W.partitionBy(*keys, SLOT).orderBy(*way(order))).cast("long"))
-    if _in_one_slot(rows):
-        return numbered.drop(SLOT)
-    sizes = _rows_of_split_keys(rows, keys).groupBy(*keys, SLOT).agg(F.count(F.lit(1)).alias("_n"))
-    before = W.partitionBy(*keys).orderBy(*way([SLOT])).rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, SLOT, F.sum("_n").over(before).alias("_offset"))
-    moved = join_same(numbered, F.broadcast(offsets), [*keys, SLOT], "left")
-    return moved.withColumn(name, F.col(name) + F.coalesce("_offset", F.lit(0))).drop(SLOT, "_offset")
+    rows = with_slots(df, keys, order[0], cut_points(df, keys, order[0], slots), sizes=True)
+    way = F.desc if newest_first else F.asc
+    number = F.row_number().over(W.partitionBy(*keys, SLOT).orderBy(*[way(c) for c in order])).cast("long")
+    ahead = F.col("_after" if newest_first else "_before")
+    return rows.withColumn(name, number + ahead).drop(SLOT, SPLIT, "_before", "_after")

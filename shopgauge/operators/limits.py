@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from shopgauge.functions.numbers import fixed3
 from shopgauge.operators import fixed_values as fixed
 from shopgauge.operators.keyed import join_same
-from shopgauge.operators.subgroups import modal_size, process_sheets, sample_of_subgroups, subgroup_stats
+from shopgauge.operators.subgroups import modal_size, process_sheets, sample_of_subgroups, sample_states, subgroup_stats
 from shopgauge.schema import KEY, LIMITS
+from shopgauge.sources.shared import pinned
 from shopgauge.sources.tables import fixed_table
 
 INDIVIDUAL, MEAN_RANGE, MEAN_STDDEV = "individual", "mean_range", "mean_stddev"
@@ -55,7 +56,7 @@ def limit_columns(n: Column, centre: Column, spread_range: Column, spread_stddev
 
 
 def control_limits(
-    measurements: DataFrame,
+    rows: DataFrame,
     run_time: Column | None = None,
     subgroups: int = 30,
     take: str = "oldest",
@@ -63,15 +64,19 @@ def control_limits(
     require_spec: bool = True,
     keep_mdate: bool = False,
 ) -> DataFrame:
-    """Limits of every process with enough inspection sheets.
+    """Limits of every process with enough inspection sheets, from measurements or their sample states.
+
+    Measurements are read once: their states, one row per sample, are pinned, and sheets, spec limits and
+    the samples taken all come from those.
 
     The mean is weighted by sample size, the mean range leaves out samples that have none. A process
     needs `subgroups` different sheets and as many samples with readings. With force_n the sample size
     is not taken from the data; with require_spec a process without any spec limit gets no limits.
     """
-    process = process_sheets(measurements).filter(F.col("sheets") >= subgroups)
+    states = rows if "spec_order" in rows.columns else pinned(sample_states(rows))
+    process = process_sheets(states).filter(F.col("sheets") >= subgroups)
     centre = (
-        sample_of_subgroups(subgroup_stats(measurements), subgroups, take)
+        sample_of_subgroups(subgroup_stats(states), subgroups, take)
         .groupBy(*KEY)
         .agg(
             F.count(F.lit(1)).alias("_taken"),

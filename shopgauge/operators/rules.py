@@ -5,6 +5,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
+from shopgauge.functions.ids import row_id
 from shopgauge.operators import fixed_values as fixed
 from shopgauge.operators.keyed import join_same, look_back
 from shopgauge.schema import KEY, LIMIT_COLUMNS, RESULTS
@@ -86,6 +87,7 @@ def flag_rules(
     rules: Iterable[int] = (1, 2, 3, 4),
     mode: str = "monotone",
     slots: int | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Points with their limits and a flag `<measure>_<rule>` for each measure and rule.
 
@@ -113,7 +115,7 @@ def flag_rules(
             found |= earlier_values(value, depth, window)
         return found
 
-    return look_back(joined, KEY, POINT_ORDER, depth, lags, slots).withColumns(flags).drop(*used)
+    return look_back(joined, KEY, POINT_ORDER, depth, lags, slots, cuts).withColumns(flags).drop(*used)
 
 
 def judge(
@@ -124,15 +126,16 @@ def judge(
     mode: str = "monotone",
     need_stddev_limits: bool = False,
     slots: int | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Judge every point: the warnings as text (empty when there are none) and the kind of chart.
 
     Rules 2 and 3 are judged on individual charts only. Points that lack a value their chart needs are
-    left out, after the windows, since they still break a run. Earlier points are context only when
-    they are not newer than `mark`.
+    left out, after the windows, since they still break a run. Points that are not newer than `mark` are
+    context only. `cuts` are the slots of long processes, such as those the points were charted in.
     """
     rules = sorted(rules)
-    flagged = flag_rules(points, limits, rules, mode, slots)
+    flagged = flag_rules(points, limits, rules, mode, slots, cuts)
     if mark is not None:
         flagged = flagged.filter(F.col("mdate") > mark)
     single, ranged, deviated = F.col("pcs") == 1, F.col("pcs").between(2, 5), F.col("pcs") >= 6
@@ -160,6 +163,7 @@ def judge(
         .when(deviated, F.lit(fixed.CHART_MEAN_STDDEV))
     )
     return kept.select(
+        row_id([*KEY, "id_no"]).alias("id"),
         F.col("mdate").alias("time"),
         *KEY,
         "id_no",

@@ -32,12 +32,16 @@ def next_month_bounds(finished: DataFrame, month_end: str, default: Column, as_o
 
 
 def next_period_begin(finished: DataFrame, period_end: str, default: Column) -> DataFrame:
-    """The day after the last finished period. One row."""
-    return finished.agg(F.coalesce(F.date_add(F.max(period_end), 1), default).alias("begin"))
+    """The first moment of the day after the last finished period. One row; a time, so that a scan can use it as it is."""
+    return finished.agg(F.coalesce(F.date_add(F.max(period_end), 1), default).cast("timestamp_ntz").alias("begin"))
 
 
-def day_span(source: DataFrame, time: str, begin: Column, end: Column) -> DataFrame:
-    """Rows of the days begin..end, the whole last day included."""
-    return source.filter(
-        (F.col(time) >= begin.cast("timestamp_ntz")) & (F.col(time) < F.date_add(end, 1).cast("timestamp_ntz"))
-    )
+def day_bounds(bounds: DataFrame, begin: str = "begin", end: str = "end") -> DataFrame:
+    """The first moment of the first day and the first one after the last day of a one-row frame of dates."""
+    return bounds.select(F.col(begin).cast("timestamp_ntz").alias(begin), F.date_add(end, 1).cast("timestamp_ntz").alias(end))
+
+
+def day_span(source: DataFrame, time: str, bounds: DataFrame) -> DataFrame:
+    """Rows of the days begin..end of a one-row frame, the whole last day included. The bounds are scalars that reach the file scan."""
+    moments = day_bounds(bounds)
+    return source.filter((F.col(time) >= moments.select("begin").scalar()) & (F.col(time) < moments.select("end").scalar()))

@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopgauge.functions.dates import day_text
 from shopgauge.functions.numbers import fixed3
@@ -12,10 +13,13 @@ from shopgauge.operators import capability as cpk
 from shopgauge.operators import limits as lim
 from shopgauge.operators import lookups, periods, points, recheck, rules, slices, subgroups
 from shopgauge.operators.keyed import ranked
+from shopgauge.operators.slots import cut_points
 from shopgauge.plans import clean
 from shopgauge.plans.limits import patrols, recoded_limits, relocated_limits, scoped
-from shopgauge.schema import KEY, MEASUREMENTS
+from shopgauge.plans.stream import JudgedStream
+from shopgauge.schema import DAY_MOMENTS, KEY, LIMITS, MEASUREMENTS, POINTS, RESULTS, SAMPLE_STATES, capability_schema
 from shopgauge.sources import fixtures, store
+from shopgauge.sources.kept import Batches, Versions
 from shopgauge.sources.shared import pinned, work_folder
 from shopgauge.sources.tables import load, typed
 
@@ -24,7 +28,9 @@ QUERIES: dict[str, Query] = {}
 
 RUN_TIME = "2024-02-01 00:00:00"
 MARK = "2024-01-20 00:00:00"
-# Keys of `insp` differ in the operation only.
+# Enough slots that every process of `insp` is cut.
+SLOTS = 40
+# Processes of `insp` differ in the operation, which tells their plants too.
 SHEET = ["op_code", "id_no"]
 
 
@@ -38,8 +44,12 @@ def _time(text: str):
 
 
 def _patrols(spark, folder):
-    """Patrol measurements as a finished table."""
-    return pinned(patrols(fixtures.insp(spark, folder)))
+    return patrols(fixtures.insp(spark, folder))
+
+
+def _states(spark, folder):
+    """Sample states of the patrol measurements, as a finished table: all limits, points and results are made from these."""
+    return pinned(subgroups.sample_states(_patrols(spark, folder)))
 
 
 def _stats(spark, folder):
@@ -54,21 +64,22 @@ def _limits(spark, folder, **options):
     return _limits_of(_patrols(spark, folder), **options)
 
 
-def _charts(spark, folder, **options):
-    """Points and the limits they belong to; the limits are handed over as a finished table."""
-    rows = _patrols(spark, folder)
-    limits = pinned(_limits_of(rows))
-    return points.chart_points(rows, limits, **options), limits
+def _charts(spark, folder, slots=None, **options):
+    """Points, the limits they belong to, and the slots that long processes are worked on in."""
+    states = _states(spark, folder)
+    limits = _limits_of(states)
+    cuts = cut_points(states, KEY, "begin_mdate", slots)
+    return points.chart_points(states, limits, cuts=cuts, **options), limits, cuts
 
 
 def _points(spark, folder, **options):
     return _charts(spark, folder, **options)[0]
 
 
-def _judged(spark, folder, **options):
+def _judged(spark, folder, slots=None, **options):
     """Results and limits."""
-    found, limits = _charts(spark, folder)
-    return rules.judge(found, limits, **options), limits
+    found, limits, cuts = _charts(spark, folder, slots)
+    return rules.judge(found, limits, cuts=cuts, **options), limits
 
 
 # -- readings and samples ------------------------------------------------------------------------
@@ -133,6 +144,19 @@ def moving_range(spark, folder):
     return ranged.select(*SHEET, "n", fixed3(F.col("range")).alias("range"))
 
 
+@query
+def moving_range_slots(spark, folder):
+    """The same with every process cut into slots."""
+    ranged = subgroups.moving_range(_stats(spark, folder), SLOTS)
+    return ranged.select(*SHEET, "n", fixed3(F.col("range")).alias("range"))
+
+
+@query
+def rank_newest_slots(spark, folder):
+    rows = fixtures.insp(spark, folder)
+    return ranked(rows, KEY, ["mdate", "id"], newest_first=True, slots=SLOTS).select("op_code", "id", "num")
+
+
 @query
 def rank_newest(spark, folder):
     return ranked(fixtures.insp(spark, folder), KEY, ["mdate", "id"], newest_first=True).select("op_code", "id", "num")
@@ -180,6 +204,19 @@ def control_limits_n1(spark, folder):
     return _limits(spark, folder, force_n=1, require_spec=False)
 
 
+@query
+def limits_from_batches(spark, folder):
+    """Limits from the sample states of three batches, each read once; cards and sheets go over the borders."""
+    rows = _patrols(spark, folder)
+    kept = Batches(spark, work_folder(spark), SAMPLE_STATES)
+    first, second = _time("2024-01-11 00:00:00"), _time(MARK)
+    for _ in range(2):
+        kept.commit(subgroups.sample_states(rows.filter(F.col("mdate") <= first)), "1")
+        kept.commit(subgroups.sample_states(rows.filter((F.col("mdate") > first) & (F.col("mdate") <= second))), "2")
+        kept.commit(subgroups.sample_states(rows.filter(F.col("mdate") > second)), "3")
+    return _limits_of(pinned(subgroups.merge_states(kept.read())))
+
+
 @query
 def limits_imr(spark, folder):
     return _limits(spark, folder).filter(F.col("pcs") == 1)
@@ -249,7 +286,8 @@ def lookback_points(spark, folder):
 
 
 def _flags(spark, folder, rule, **options):
-    flagged = rules.flag_rules(*_charts(spark, folder), [rule], **options)
+    found, limits, cuts = _charts(spark, folder)
+    flagged = rules.flag_rules(found, limits, [rule], cuts=cuts, **options)
     return flagged.select(
         *SHEET,
         *[F.coalesce(F.col(f"{m}_{rule}"), F.lit(False)).cast("int").alias(m) for m in ("avg", "range", "stddev")],
@@ -286,11 +324,34 @@ def judge_full(spark, folder):
     return _judged(spark, folder)[0]
 
 
+@query
+def judge_full_slots(spark, folder):
+    """The same with every process cut into slots."""
+    return _judged(spark, folder, SLOTS)[0]
+
+
+@query
+def judge_stream_of_batches(spark, folder):
+    """Three batches, judged from the state that the ones before have left; a sheet's rows may take five days to come in."""
+    rows = _patrols(spark, folder)
+    limits = pinned(_limits_of(rows))
+    stream = JudgedStream(spark, work_folder(spark))
+    high = None
+    for number, end in enumerate(("2024-01-11 00:00:00", "2024-01-21 00:00:00", None)):
+        slice_ = rows if high is None else rows.filter(F.col("mdate") > high)
+        if end:
+            high = _time(end)
+            slice_ = slice_.filter(F.col("mdate") <= high)
+        for _ in range(2):
+            stream.run(f"batch-{number}", slice_, limits, high - F.expr("INTERVAL 5 DAYS") if end else None)
+    return stream.results.read()
+
+
 @query
 def judge_incremental(spark, folder):
-    found, limits = _charts(spark, folder)
+    found, limits, cuts = _charts(spark, folder)
     recent = found.filter(F.col("mdate") > slices.look_back_from(_time(MARK), 90))
-    return rules.judge(recent, limits, rules=(1, 4), mark=_time(MARK), need_stddev_limits=True)
+    return rules.judge(recent, limits, rules=(1, 4), mark=_time(MARK), need_stddev_limits=True, cuts=cuts)
 
 
 # -- limit feedback ------------------------------------------------------------------------------
@@ -303,7 +364,15 @@ def relimit(spark, folder):
 
 @query
 def relimit_n1(spark, folder):
-    return recheck.relimit(_judged(spark, folder)[0], excluded_plants=(), classes=[lim.INDIVIDUAL])
+    """Re-check of one data source only: results are laid out by source, so the other one's are not read."""
+    found, limits, cuts = _charts(spark, folder)
+    by_source = T.StructType([*RESULTS.fields, T.StructField("datasource", T.StringType())])
+    kept = Batches(spark, work_folder(spark), by_source, by=["datasource"])
+    first = rules.judge(found, limits, cuts=cuts).withColumn("datasource", F.lit("first"))
+    second = rules.judge(found, limits, [1], cuts=cuts).withColumn("datasource", F.lit("second"))
+    kept.commit(first.unionByName(second), "all")
+    results = scoped(kept.read(), datasource="second")
+    return recheck.relimit(results, excluded_plants=(), classes=[lim.INDIVIDUAL])
 
 
 @query
@@ -312,20 +381,41 @@ def relimit_apply(spark, folder):
     return store.apply_recheck(limits, recheck.relimit(results))
 
 
+def _some(states):
+    return states.filter(F.col("op_code").isin("click", "view", "purchase"))
+
+
 @query
 def limits_upsert(spark, folder):
-    rows = _patrols(spark, folder)
-    some = rows.filter(F.col("op_code").isin("click", "view", "purchase"))
-    fresh = lim.control_limits(some, _time("2024-03-01 00:00:00"), take="newest")
-    stale = _limits_of(some, take="newest", force_n=1)
-    return store.upsert(_limits_of(rows), stale.unionByName(fresh))
+    """The limits table gets a second version, in which new limits stand in place of older ones. Older copies of a new limit don't count."""
+    states = _states(spark, folder)
+    table = Versions(spark, work_folder(spark), LIMITS)
+    table.write(_limits_of(states), "first")
+    fresh = lim.control_limits(_some(states), _time("2024-03-01 00:00:00"), take="newest")
+    stale = _limits_of(_some(states), take="newest", force_n=1)
+    changes = stale.unionByName(fresh).withColumn("action", F.lit(store.UPSERT))
+    table.write(store.merge(table.read(), changes), "second")
+    return table.read()
+
+
+@query
+def limits_merge(spark, folder):
+    """One pass over the limits that replaces, changes, adds and deletes."""
+    states = _states(spark, folder)
+    newest = lim.control_limits(states, _time("2024-03-01 00:00:00"), take="newest")
+    of = F.col("op_code")
+    action = F.when(of == "click", F.lit(store.DELETE)).when(of == "view", F.lit(store.UPDATE)).otherwise(F.lit(store.UPSERT))
+    table = Versions(spark, work_folder(spark), LIMITS)
+    table.write(_limits_of(states).filter(of != "signup"), "first")
+    table.write(store.merge(table.read(), newest.filter(of != "error").withColumn("action", action)), "second")
+    return table.read()
 
 
 @query
 def limits_update(spark, folder):
-    rows = _patrols(spark, folder)
-    changes = _limits_of(rows.filter(F.col("op_code") != "click"), take="newest")
-    return store.update_limits(_limits_of(rows), changes)
+    states = _states(spark, folder)
+    changes = _limits_of(states.filter(F.col("op_code") != "click"), take="newest")
+    return store.update_limits(_limits_of(states), changes)
 
 
 @query
@@ -343,6 +433,27 @@ def sink_append(spark, folder):
     return spark.read.schema(found.schema).parquet(path)
 
 
+@query
+def points_to_sink(spark, folder):
+    """The points job from mark to sink, twice: the mark is the newest time in the sink, so the second run has nothing to add."""
+    rows = _patrols(spark, folder)
+    limits = pinned(_limits_of(rows))
+    sink = Batches(spark, work_folder(spark), POINTS)
+    for run in ("first", "second", "second"):
+        mark = sink.mark("mdate", _time("2020-06-30 01:12:51.303"))
+        recent = rows.filter(F.col("mdate") > slices.look_back_from(mark, 10))
+        sink.commit(points.chart_points(recent, limits, mark=mark), run)
+    return sink.read()
+
+
+@query
+def sink_partitions(spark, folder):
+    """Points written into three files."""
+    sink = Batches(spark, work_folder(spark), POINTS)
+    sink.commit(_points(spark, folder), "all", partitions=3)
+    return sink.read().select("id", F.input_file_name().alias("file")).agg(F.count_distinct("file").alias("n_files"), F.count("id").alias("n_points"))
+
+
 # -- capability ----------------------------------------------------------------------------------
 
 
@@ -375,6 +486,30 @@ def cpk_quarter(spark, folder):
     return cpk.capability(_wide(spark, folder, "part_spec"), "quarter")
 
 
+@query
+def cpk_from_days(spark, folder):
+    """Months from a kept table of days that came in two batches, of which the second adds readings to days of the first."""
+    rows = _wide(spark, folder)
+    kept = Batches(spark, work_folder(spark), DAY_MOMENTS)
+    late = F.col("rcard").isin("1", "2")
+    kept.commit(cpk.day_moments(rows.filter(~late)), "1")
+    kept.commit(cpk.day_moments(rows.filter(late)), "2")
+    return cpk.capability(kept.read().withColumns({c: F.lit("-") for c in ("op_code", "sta_code")}), "month")
+
+
+@query
+def cpk_finished_weeks(spark, folder):
+    """Weeks appended once they are over; the sink tells up to where that is done."""
+    days = pinned(cpk.day_moments(fixtures.insp(spark, folder)))
+    sink = Batches(spark, work_folder(spark), capability_schema("week"))
+    for run, as_of in enumerate(("2024-01-17", "2024-01-17", "2024-02-05")):
+        begun = sink.read().select(F.to_date(F.substring("weektime", 1, 10)).alias("begin"))
+        after = slices.high_water_mark(begun, "begin", F.lit("2020-06-29").cast("date")).scalar()
+        over = cpk.finished(days, "week", F.lit(as_of).cast("date"), after)
+        sink.commit(cpk.capability(over, "week"), f"run-{run}")
+    return sink.read()
+
+
 # -- calendar ------------------------------------------------------------------------------------
 
 
@@ -438,8 +573,7 @@ def next_month_slice(spark, folder):
     )
     as_of = F.lit("1999-08-10").cast("date")
     bounds = slices.next_month_bounds(finished, "month_end", F.lit("1995-08-01").cast("date"), as_of)
-    low, high = bounds.select("begin").scalar(), bounds.select("end").scalar()
-    kept = slices.day_span(lines, "l_shipdate", low, high)
+    kept = slices.day_span(lines, "l_shipdate", bounds)
     return kept.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
 
 

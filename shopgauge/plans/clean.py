@@ -3,9 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopgauge.functions.ids import with_row_ids
 from shopgauge.operators import fixed_values as fixed
 from shopgauge.operators import lookups
-from shopgauge.sources.store import row_id
 
 INSPECTION_COLUMNS = [
     "workshop_code", "mdate", "first_time", "rcard", "part_spec", "pixel", "op_code", "sta_code",
@@ -19,13 +19,23 @@ AUDIT_COLUMNS = [
     "ballshear4", "ballshear5", "ballsize1", "ballsize2", "ballsize3", "ballsize4", "memo1", "memo2", "memo3", "memo4",
 ]
 
+FINAL_QC_COLUMNS = [
+    "wo_code", "pixel", "rcard", "router_code", "op_code", "ok_qty", "sampling_qty", "ec_name", "qty",
+    "result", "muser", "mdate", "workshop_code", "factory",
+]
+
+SECOND_COLUMNS = [
+    "workshop_code", "mdate", "first_time", "rcard", "part_spec", "op_code", "sta_code", "testitem", "eattribute1_1", "id_no",
+    "lower", "upper", "tdata", "factory",
+]
+
 
 def clean_inspections(header: DataFrame, detail: DataFrame) -> DataFrame:
     """Inspection sheets with their readings, workshop renamed and plant added."""
     sheets = header.withColumnRenamed("eattribute1", "eattribute1_1")
     joined = sheets.join(detail, sheets["id"] == detail["id_no"]).select(*INSPECTION_COLUMNS)
     mapped = lookups.map_workshop(joined)
-    return mapped.select(row_id(["id_no", "rcard", "testitem", "mdate", "tdata"]).alias("id"), *INSPECTION_COLUMNS, "factory")
+    return with_row_ids(mapped.select(*INSPECTION_COLUMNS, "factory"))
 
 
 def clean_audits(findings: DataFrame) -> DataFrame:
@@ -52,11 +62,7 @@ def clean_final_qc(
     )
     verdict = F.when(F.col("qty").isNull() | (F.col("qty") == 0), F.lit("OK")).otherwise(F.lit("NG"))
     mapped = lookups.map_workshop_final_qc(joined.withColumn("result", verdict))
-    columns = [
-        "wo_code", "pixel", "rcard", "router_code", "op_code", "ok_qty", "sampling_qty", "ec_name", "qty",
-        "result", "muser", "mdate", "workshop_code", "factory",
-    ]
-    return mapped.select(row_id(["wo_code", "rcard", "op_code", "mdate", "ec_code"]).alias("id"), *columns)
+    return with_row_ids(mapped.select(*FINAL_QC_COLUMNS))
 
 
 def join_second_source(header: DataFrame, detail: DataFrame) -> DataFrame:
@@ -80,5 +86,4 @@ def join_second_source(header: DataFrame, detail: DataFrame) -> DataFrame:
     with_plant = lookups.map_second_source_plant(joined)
     workshops = ["生产一区", "生产四区", "古城COB一区"]
     recoded = lookups.recode_station(with_plant, lookups.station_map(joined.sparkSession, workshops))
-    columns = [*joined.columns, "factory"]
-    return recoded.select(row_id(["id_no", "testitem", "eattribute1_1", "mdate", "tdata"]).alias("id"), *columns)
+    return with_row_ids(recoded.select(*SECOND_COLUMNS))

@@ -9,9 +9,9 @@ import csv
 from shopgauge.operators import fixed_values as fixed
 from shopgauge.operators.lookups import MOVED_STATIONS, STATIONS_FILE
 from shopgauge.plans.catalog import MARK, RUN_TIME
-from shopgauge.plans.clean import AUDIT_COLUMNS
+from shopgauge.plans.clean import AUDIT_COLUMNS, FINAL_QC_COLUMNS, INSPECTION_COLUMNS, SECOND_COLUMNS
 from shopgauge.schema import KEY, LIMIT_COLUMNS
-from shopgauge.sources.fixtures import BONDING_WORKSHOPS, SAMPLE_SIZES, WORKSHOP_NAMES
+from shopgauge.sources.fixtures import BONDING_WORKSHOPS, PLANTS, SAMPLE_SIZES, WORKSHOP_NAMES
 
 K = ", ".join(KEY)
 ORACLES: dict[str, str] = {}
@@ -43,19 +43,26 @@ def with_(parts, final: str) -> str:
 
 # -- fixtures ------------------------------------------------------------------------------------
 
+_plant = "CASE event_type " + " ".join(f"WHEN '{t}' THEN {text(p)}" for t, p in PLANTS.items()) + " ELSE '古城二厂' END"
 _size = "CASE event_type " + " ".join(f"WHEN '{t}' THEN {k}" for t, k in SAMPLE_SIZES.items()) + " ELSE 10 END"
-def row_id(*columns):
-    """Each value with its length before it, so that neither borders nor NULL can be mistaken."""
+def row_id(*columns, equal: bool = False):
+    """Each value with its length before it, so that neither borders nor NULL can be mistaken; equal rows are numbered on request."""
     parts = [f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns]
+    if equal:
+        parts += ["'#'", f"CAST(row_number() OVER (PARTITION BY {', '.join(columns)}) AS VARCHAR)"]
     return f"sha256(concat({', '.join(parts)}))"
 
 
+def with_row_ids(columns, rows: str) -> str:
+    return f"SELECT {row_id(*columns, equal=True)} AS id, {', '.join(columns)} FROM {rows}"
+
+
 INSP = [
     ("numbered", "SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events"),
     (
         "insp",
         f"""SELECT CAST(event_id AS VARCHAR) AS id, '巡检' AS first_time, '古二COB二区' AS workshop_code, 'P1' AS part_spec,
-        event_type AS op_code, 'S1' AS sta_code, 'A' AS eattribute1_1, 'value' AS testitem, '古城二厂' AS factory,
+        event_type AS op_code, 'S1' AS sta_code, 'A' AS eattribute1_1, 'value' AS testitem, {_plant} AS factory,
         CAST((rn - 1) // ({_size}) AS VARCHAR) AS id_no, CAST((rn - 1) // ({_size}) AS VARCHAR) AS rcard, ts AS mdate,
         CASE WHEN event_type <> 'error' THEN 0.0::DOUBLE END AS lower, CASE WHEN event_type <> 'signup' THEN 60.0::DOUBLE END AS upper,
         CASE WHEN event_id % 97 = 0 THEN 'NG'
@@ -116,7 +123,8 @@ def reading_parts(rows: str, p: str):
 
 def sample_parts(rows: str, p: str = ""):
     """<p>sub: statistics of each sample; <p>ranged: the same with the (moving) range."""
-    return reading_parts(rows, p) + [
+    timed = (f"{p}timed", f"SELECT *, max(mdate) OVER (PARTITION BY {K}, rcard, id_no) AS last_mdate FROM {rows}")
+    return [timed] + reading_parts(f"{p}timed", p) + [
         (
             f"{p}row",
             f"SELECT {K}, rcard, id_no, id, mdate, sum(value) AS row_sum FROM {p}read GROUP BY {K}, rcard, id_no, id, mdate",
@@ -128,9 +136,8 @@ def sample_parts(rows: str, p: str = ""):
         (
             f"{p}stat",
             f"""SELECT {K}, rcard, id_no, CAST(count(*) AS INTEGER) AS n, sum(value) AS total, max(value) - min(value) AS span,
-            stddev_pop(value) AS deviation, any_value(last_mdate) AS mdate
-            FROM {p}read JOIN (SELECT {K}, rcard, id_no, max(mdate) AS last_mdate FROM {rows} GROUP BY {K}, rcard, id_no)
-            USING ({K}, rcard, id_no) GROUP BY {K}, rcard, id_no""",
+            stddev_pop(value) AS deviation, max(last_mdate) AS mdate
+            FROM {p}read GROUP BY {K}, rcard, id_no""",
         ),
         (f"{p}sub", f"SELECT s.*, w.newest_row_sum FROM {p}stat s JOIN {p}newest w ON {on_key('s', 'w')} AND s.rcard = w.rcard AND s.id_no = w.id_no"),
         (
@@ -236,8 +243,10 @@ add(
     """SELECT op_code, n AS pcs FROM (SELECT op_code, n, row_number() OVER (PARTITION BY op_code ORDER BY count(*) DESC, n) AS place
     FROM taken GROUP BY op_code, n) WHERE place = 1""",
 )
-add("moving_range", SAMPLES, f"SELECT op_code, id_no, n, {fixed3('range')} AS range FROM ranged")
-add("rank_newest", INSP, f"SELECT op_code, id, row_number() OVER (PARTITION BY {K} ORDER BY mdate DESC, id DESC) AS num FROM insp")
+for name in ("moving_range", "moving_range_slots"):
+    add(name, SAMPLES, f"SELECT op_code, id_no, n, {fixed3('range')} AS range FROM ranged")
+for name in ("rank_newest", "rank_newest_slots"):
+    add(name, INSP, f"SELECT op_code, id, row_number() OVER (PARTITION BY {K} ORDER BY mdate DESC, id DESC) AS num FROM insp")
 add("rank_oldest", INSP, f"SELECT op_code, id_no, id, row_number() OVER (PARTITION BY {K}, id_no ORDER BY mdate, id) AS num FROM insp")
 add("row_id", INSP, "SELECT op_code, id_no, id, " + row_id("op_code", "id_no", "id", "tdata") + " AS row_id FROM insp")
 add(
@@ -246,7 +255,8 @@ add(
     """SELECT op_code, id_no, n, CASE WHEN n = 1 THEN 'individual' WHEN n <= 5 THEN 'mean_range' ELSE 'mean_stddev' END AS chart FROM sub""",
 )
 add("chart_constants", [*SAMPLES, CONST_PART], "SELECT op_code, id_no, n, a2, d4, a3, b4, b3 FROM sub JOIN const ON n = size")
-add("control_limits", ALL_LIMITS, f"SELECT {LIMIT_FIELDS} FROM limits")
+for name in ("control_limits", "limits_from_batches"):
+    add(name, ALL_LIMITS, f"SELECT {LIMIT_FIELDS} FROM limits")
 add("control_limits_newest", [*INSP, CONST_PART, *limit_parts("insp", take="newest")], f"SELECT {LIMIT_FIELDS} FROM limits")
 add(
     "control_limits_n1",
@@ -257,7 +267,7 @@ _texts = ", ".join(f"coalesce(printf('%.3f', {c}), '') AS {c}" for c in ("usl",
 add(
     "limits_export",
     ALL_LIMITS,
-    f"SELECT {K}, strftime(time, '%Y-%m-%d %H:%M:%S') AS time, CAST(pcs AS VARCHAR) AS pcs, {_texts} FROM limits",
+    f"SELECT {', '.join(f"coalesce({k}, '') AS {k}" for k in KEY)}, strftime(time, '%Y-%m-%d %H:%M:%S') AS time, CAST(pcs AS VARCHAR) AS pcs, {_texts} FROM limits",
 )
 add("limits_imr", ALL_LIMITS, f"SELECT {LIMIT_FIELDS} FROM limits WHERE pcs = 1")
 add("limits_xbar_r", ALL_LIMITS, f"SELECT {LIMIT_FIELDS} FROM limits WHERE pcs BETWEEN 2 AND 5")
@@ -340,14 +350,16 @@ def point_parts(rows: str, limits: str, p: str = "p", mark: str | None = None):
     same = " AND ".join(f"l.{k} IS NOT DISTINCT FROM m.{k}" for k in KEY)
     after = f" AND mdate > TIMESTAMP '{mark}'" if mark else ""
     return [
-        (f"{p}rows", f"SELECT * FROM {rows} m WHERE EXISTS (SELECT 1 FROM {limits} l WHERE {same})"),
+        (
+            f"{p}rows",
+            f"""SELECT *, first_value(rcard) OVER s AS first_rcard, min(mdate) OVER (PARTITION BY {K}, id_no) AS first_mdate
+            FROM {rows} m WHERE EXISTS (SELECT 1 FROM {limits} l WHERE {same}) WINDOW s AS (PARTITION BY {K}, id_no ORDER BY mdate)""",
+        ),
         *reading_parts(f"{p}rows", p),
         (
             f"{p}sheet",
             f"""SELECT {K}, id_no, any_value(first_rcard) AS rcard, any_value(first_mdate) AS mdate, count(*) AS n, avg(value) AS mean,
-            min(value) AS low, max(value) AS high, stddev_pop(value) AS deviation
-            FROM {p}read JOIN (SELECT {K}, id_no, arg_min(rcard, mdate) AS first_rcard, min(mdate) AS first_mdate FROM {p}rows GROUP BY {K}, id_no)
-            USING ({K}, id_no) GROUP BY {K}, id_no""",
+            min(value) AS low, max(value) AS high, stddev_pop(value) AS deviation FROM {p}read GROUP BY {K}, id_no""",
         ),
         (
             f"{p}prev",
@@ -356,7 +368,7 @@ def point_parts(rows: str, limits: str, p: str = "p", mark: str | None = None):
         ),
         (
             f"{p}points",
-            f"""SELECT {K}, id_no, rcard, mdate, n, {fixed3('mean')} AS avgvalue,
+            f"""SELECT {row_id(*KEY, 'id_no')} AS id, {K}, id_no, rcard, mdate, n, {fixed3('mean')} AS avgvalue,
             {fixed3('CASE WHEN n = 1 THEN greatest(high, phigh) - least(low, plow) WHEN n <= 5 THEN high - low END')} AS rangevalue,
             {fixed3('CASE WHEN n >= 6 THEN deviation END')} AS stddevvalue
             FROM {p}prev WHERE (n > 1 OR plow IS NOT NULL){after}""",
@@ -364,11 +376,13 @@ def point_parts(rows: str, limits: str, p: str = "p", mark: str | None = None):
     ]
 
 
-POINT_FIELDS = f"{K}, id_no, rcard, mdate, avgvalue, rangevalue, stddevvalue"
+POINT_FIELDS = f"id, {K}, id_no, rcard, mdate, avgvalue, rangevalue, stddevvalue"
 ALL_POINTS = [*ALL_LIMITS, *point_parts("insp", "limits")]
 add("chart_points", ALL_POINTS, f"SELECT {POINT_FIELDS} FROM ppoints")
 add("points_individual", ALL_POINTS, f"SELECT {POINT_FIELDS} FROM ppoints WHERE n = 1")
-add("sink_append", ALL_POINTS, f"SELECT {POINT_FIELDS} FROM ppoints")
+for name in ("sink_append", "points_to_sink"):
+    add(name, ALL_POINTS, f"SELECT {POINT_FIELDS} FROM ppoints")
+add("sink_partitions", ALL_POINTS, "SELECT CAST(3 AS BIGINT) AS n_files, count(*) AS n_points FROM ppoints")
 add(
     "lookback_points",
     [
@@ -453,7 +467,7 @@ def result_parts(rules, p: str = "j", extra: str = ""):
     return [
         (
             f"{p}results",
-            f"""SELECT mdate AS time, {K}, id_no, rcard, pcs AS samplenum, usl, lsl, {', '.join(LIMIT_COLUMNS)}, avgvalue AS testvalueavg,
+            f"""SELECT id, mdate AS time, {K}, id_no, rcard, pcs AS samplenum, usl, lsl, {', '.join(LIMIT_COLUMNS)}, avgvalue AS testvalueavg,
             rangevalue AS testvaluerange, stddevvalue AS testvaluestdev, concat_ws(', ', {', '.join(words)}) AS spcwarn,
             CASE WHEN pcs = 1 THEN '单值和移动极差图' WHEN pcs <= 5 THEN '均值极差图' ELSE '均值标准差图' END AS spcgraphtype
             FROM {p}flag WHERE avgvalue IS NOT NULL AND CASE WHEN pcs >= 6 THEN stddevvalue IS NOT NULL ELSE rangevalue IS NOT NULL END {extra}""",
@@ -462,7 +476,13 @@ def result_parts(rules, p: str = "j", extra: str = ""):
 
 
 ALL_RESULTS = [*ALL_POINTS, *judged_parts("ppoints", [1, 2, 3, 4]), *result_parts([1, 2, 3, 4])]
-add("judge_full", ALL_RESULTS, "SELECT * FROM jresults")
+for name in ("judge_full", "judge_full_slots"):
+    add(name, ALL_RESULTS, "SELECT * FROM jresults")
+add(
+    "judge_stream_of_batches",
+    [*ALL_POINTS, *judged_parts("ppoints", [1, 4]), *result_parts([1, 4])],
+    "SELECT * FROM jresults",
+)
 add(
     "judge_incremental",
     [
@@ -511,7 +531,11 @@ def recheck_parts(excluded, classes: str):
 
 RECHECK = [*ALL_RESULTS, *recheck_parts(fixed.RECHECK_EXCLUDED_PLANTS, "pcs <= 25")]
 add("relimit", RECHECK, "SELECT * FROM decisions")
-add("relimit_n1", [*ALL_RESULTS, *recheck_parts([], "pcs = 1")], "SELECT * FROM decisions")
+add(
+    "relimit_n1",
+    [*ALL_POINTS, *judged_parts("ppoints", [1]), *result_parts([1]), *recheck_parts([], "pcs = 1")],
+    "SELECT * FROM decisions",
+)
 add(
     "relimit_apply",
     RECHECK,
@@ -532,6 +556,14 @@ add(
     + ", ".join(f"CASE WHEN n.op_code IS NOT NULL THEN n.{c} ELSE l.{c} END AS {c}" for c in LIMIT_COLUMNS)
     + f" FROM limits l LEFT JOIN n_limits n ON {on_key('l', 'n')}",
 )
+add(
+    "limits_merge",
+    [*ALL_LIMITS, *limit_parts("insp", "n_", take="newest", time="2024-03-01 00:00:00")],
+    f"SELECT {LIMIT_FIELDS} FROM limits WHERE op_code = 'error' UNION ALL SELECT {LIMIT_FIELDS} FROM n_limits "
+    f"WHERE op_code NOT IN ('click', 'view', 'error') UNION ALL SELECT {', '.join('l.' + k for k in KEY)}, l.time, l.pcs, l.usl, l.lsl, "
+    + ", ".join(f"n.{c}" for c in LIMIT_COLUMNS)
+    + f" FROM limits l JOIN n_limits n ON {on_key('l', 'n')} WHERE l.op_code = 'view'",
+)
 add("limits_delete", ALL_LIMITS, f"SELECT {LIMIT_FIELDS} FROM limits WHERE pcs <> 1")
 
 # -- capability ----------------------------------------------------------------------------------
@@ -576,7 +608,7 @@ def cpk_sql(rows: str, unit: str, clip: str | None = None):
             {fixed3('abs(x - w.lower) / 3 / nullif(s, 0)')} AS cplvalue
             FROM pooled p JOIN spec w ON {on_key('p', 'w')} AND p.b = w.b WHERE coalesce(w.upper > w.lower, w.upper IS NOT NULL OR w.lower IS NOT NULL)""",
         ),
-    ], f"""SELECT {day('d1')} || '至' || {day('d2')} AS {unit}time, strftime({year}, '%Y') AS year, {_LABEL[unit].format(e='d2')} AS {unit}, {K},
+    ], f"""SELECT {row_id(f"'{unit}'", f"({day('d1')} || '至' || {day('d2')})", *KEY)} AS id, {day('d1')} || '至' || {day('d2')} AS {unit}time, strftime({year}, '%Y') AS year, {_LABEL[unit].format(e='d2')} AS {unit}, {K},
         cpuvalue, cplvalue, least(cpuvalue, cplvalue) AS cpkvalue, 1.0::DOUBLE AS cpkwarnline FROM indexed"""
 
 
@@ -584,8 +616,10 @@ _parts, _final = cpk_sql("insp", "week", "events")
 add("cpk_week", [*INSP, *_parts], _final)
 _parts, _final = cpk_sql("insp", "week")
 add("cpk_onesided", [*INSP, *_parts], _final + " WHERE cpuvalue IS NULL OR cplvalue IS NULL")
+add("cpk_finished_weeks", [*INSP, *_parts], _final + " WHERE d2 < DATE '2024-02-05'")
 _parts, _final = cpk_sql("flat", "month")
-add("cpk_month", [*WIDE, ("flat", "SELECT * REPLACE ('-' AS op_code, '-' AS sta_code) FROM wide"), *_parts], _final)
+for name in ("cpk_month", "cpk_from_days"):
+    add(name, [*WIDE, ("flat", "SELECT * REPLACE ('-' AS op_code, '-' AS sta_code) FROM wide"), *_parts], _final)
 _parts, _final = cpk_sql("flat", "quarter")
 add("cpk_quarter", [*WIDE, ("flat", "SELECT * REPLACE ('-' AS part_spec) FROM wide"), *_parts], _final)
 
@@ -711,8 +745,7 @@ INSPECTIONS = [
     ),
     (
         "inspections",
-        f"""SELECT {row_id("id_no", "rcard", "testitem", "mdate", "tdata")} AS id,
-        CASE WHEN v.old IS NULL THEN w ELSE v.new END AS workshop_code, mdate, first_time, rcard, part_spec, pixel, op_code, sta_code,
+        f"""SELECT CASE WHEN v.old IS NULL THEN w ELSE v.new END AS workshop_code, mdate, first_time, rcard, part_spec, pixel, op_code, sta_code,
         testitem, eattribute1_1, result, id_no, lower, upper, tdata, v.plant AS factory
         FROM header JOIN detail ON header.id = detail.id_no LEFT JOIN workshops v ON w = v.old""",
     ),
@@ -721,7 +754,7 @@ ITEMS = (
     "items",
     f"SELECT * FROM ({values([(op, i) for op, items in fixed.CHARTED_ITEMS.items() for i in items])}) AS v(op, item)",
 )
-add("inspection_clean", INSPECTIONS, "SELECT * FROM inspections")
+add("inspection_clean", INSPECTIONS, with_row_ids([*INSPECTION_COLUMNS, "factory"], "inspections"))
 _listed = "EXISTS (SELECT 1 FROM items WHERE op = op_code AND item = testitem)"
 add("item_whitelist", [*INSPECTIONS, ITEMS], f"SELECT id_no, op_code, testitem, tdata FROM inspections WHERE {_listed}")
 add("item_rejected", [*INSPECTIONS, ITEMS], f"SELECT id_no, op_code, testitem, tdata FROM inspections WHERE NOT {_listed}")
@@ -766,14 +799,17 @@ add(
             "SELECT rcard, op_code, mdate, wo_code % 30 AS ec_code, CAST(wo_code % 3 AS DOUBLE) AS qty FROM lots WHERE wo_code % 4 = 0",
         ),
         ("pnames", "SELECT DISTINCT op_code AS pname FROM lots"),
-    ],
-    f"""SELECT {row_id("wo_code", "lots.rcard", "lots.op_code", "lots.mdate", "bad.ec_code")} AS id,
-    wo_code, p_brand AS pixel, lots.rcard, 'RT1' AS router_code, lots.op_code, ok_qty, sampling_qty, n_name AS ec_name, qty,
+        (
+            "checked",
+            """SELECT wo_code, p_brand AS pixel, lots.rcard, 'RT1' AS router_code, lots.op_code, ok_qty, sampling_qty, n_name AS ec_name, qty,
     CASE WHEN qty IS NULL OR qty = 0 THEN 'OK' ELSE 'NG' END AS result, muser, lots.mdate,
     CASE WHEN v.old IS NULL THEN w ELSE v.test END AS workshop_code, v.plant AS factory
     FROM lots LEFT JOIN bad ON lots.rcard = bad.rcard AND lots.op_code = bad.op_code AND lots.mdate = bad.mdate
     LEFT JOIN nation ON bad.ec_code = n_nationkey JOIN part ON item_code = p_partkey LEFT JOIN pnames ON lots.op_code = pname
     LEFT JOIN sections v ON w = v.old WHERE lots.op_code IN ('QC外观检', 'QC CCD检验')""",
+        ),
+    ],
+    with_row_ids(FINAL_QC_COLUMNS, "checked"),
 )
 _second_rows = [r for r in _station_rows if r[0] in ("生产一区", "生产四区", "古城COB一区")]
 add(
@@ -797,8 +833,12 @@ add(
             FROM header h JOIN lineitem ON h.id = l_suppkey LEFT JOIN plants p ON h.workshop_code = p.workshop
             WHERE op_code = 'WB' AND first_time = '巡检'""",
         ),
-    ],
-    f"""SELECT {row_id("id_no", "testitem", "eattribute1_1", "mdate", "tdata")} AS id, workshop_code, mdate, first_time, rcard,
+        (
+            "coded",
+            """SELECT workshop_code, mdate, first_time, rcard,
     part_spec, op_code, coalesce(v.new, line) AS sta_code, testitem, eattribute1_1, id_no, lower, upper, tdata, j.plant AS factory
     FROM joined j LEFT JOIN stations v ON j.workshop_code = v.workshop AND (v.plant IS NULL OR j.plant = v.plant) AND line = v.old""",
+        ),
+    ],
+    with_row_ids(SECOND_COLUMNS, "coded"),
 )

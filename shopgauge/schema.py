@@ -48,6 +48,7 @@ LIMITS = _struct(
 )
 
 POINTS = _struct(
+    ("id", T.StringType()),
     *_KEY_FIELDS,
     ("id_no", T.StringType()),
     ("rcard", T.StringType()),
@@ -58,6 +59,7 @@ POINTS = _struct(
 )
 
 RESULTS = _struct(
+    ("id", T.StringType()),
     ("time", T.TimestampNTZType()),
     *_KEY_FIELDS,
     ("id_no", T.StringType()),
@@ -72,3 +74,44 @@ RESULTS = _struct(
     ("spcwarn", T.StringType()),
     ("spcgraphtype", T.StringType()),
 )
+
+_ORDER = T.DecimalType(38, 0)
+
+# What is kept of a sample's rows; parts of a sample can be merged.
+SAMPLE_STATES = _struct(
+    *_KEY_FIELDS,
+    ("rcard", T.StringType()),
+    ("id_no", T.StringType()),
+    ("n", T.IntegerType()),
+    *[(name, T.DoubleType()) for name in ("total", "low", "high", "squares", "newest_row_sum")],
+    ("newest_order", _ORDER),
+    ("begin_mdate", T.TimestampNTZType()),
+    ("mdate", T.TimestampNTZType()),
+    ("lower", T.DoubleType()),
+    ("upper", T.DoubleType()),
+    ("spec_order", _ORDER),
+)
+
+STREAM_STATE = T.StructType([*SAMPLE_STATES.fields, T.StructField("closed", T.BooleanType())])
+
+DAY_MOMENTS = _struct(
+    *_KEY_FIELDS,
+    ("day", T.DateType()),
+    ("readings", T.LongType()),
+    ("mean", T.DoubleType()),
+    ("squares", T.DoubleType()),
+    ("spec_order", _ORDER),
+    ("lsl", T.DoubleType()),
+    ("usl", T.DoubleType()),
+)
+
+
+def capability_schema(unit: str) -> T.StructType:
+    return _struct(
+        ("id", T.StringType()),
+        (f"{unit}time", T.StringType()),
+        ("year", T.StringType()),
+        (unit, T.StringType()),
+        *_KEY_FIELDS,
+        *[(name, T.DoubleType()) for name in ("cpuvalue", "cplvalue", "cpkvalue", "cpkwarnline")],
+    )

@@ -16,6 +16,8 @@ BONDING_WORKSHOPS = [
     "生产一区", "生产二区", "生产三区", "生产四区", "生产六区", "生产七区", "古城COB一区", "修复区",
 ]
 SAMPLE_SIZES = {"click": 1, "view": 3, "purchase": 5, "signup": 8}
+# One plant that re-checks leave out, one process without a plant.
+PLANTS = {"view": "台虹厂", "purchase": None}
 
 
 def pick(names: list[str], number: Column) -> Column:
@@ -30,6 +32,9 @@ def insp(spark: SparkSession, folder: str) -> DataFrame:
     size = F.coalesce(*[F.when(F.col("event_type") == t, k) for t, k in SAMPLE_SIZES.items()], F.lit(10))
     value = F.col("value").cast("string")
     event = F.col("event_id")
+    plant = F.lit("古城二厂")
+    for kind, name in PLANTS.items():
+        plant = F.when(F.col("event_type") == kind, F.lit(name).cast("string")).otherwise(plant)
     return numbered.select(
         event.cast("string").alias("id"),
         F.lit("巡检").alias("first_time"),
@@ -39,7 +44,7 @@ def insp(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("S1").alias("sta_code"),
         F.lit("A").alias("eattribute1_1"),
         F.lit("value").alias("testitem"),
-        F.lit("古城二厂").alias("factory"),
+        plant.alias("factory"),
         F.floor((F.col("rn") - 1) / size).cast("string").alias("id_no"),
         F.floor((F.col("rn") - 1) / size).cast("string").alias("rcard"),
         F.col("ts").alias("mdate"),

@@ -10,16 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from shopgauge.functions.ids import row_id, with_row_ids
 from shopgauge.operators.keyed import join_same, latest_per_key
 from shopgauge.schema import KEY, LIMIT_COLUMNS
 
+__all__ = ["append", "apply_recheck", "as_text", "delete_keys", "merge", "random_row_id", "row_id", "update_limits", "upsert", "with_row_ids", "write_new"]
 
-def row_id(columns: Sequence[str]) -> Column:
-    """Id of a row from its natural key, the same on every run."""
-    texts = [F.col(c).cast("string") for c in columns]
-    # Each value with its length before it, so that neither borders nor NULL can be mistaken.
-    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
-    return F.sha2(F.concat(*parts), 256)
+UPSERT, UPDATE, DELETE = "upsert", "update", "delete"
 
 
 def random_row_id() -> Column:
@@ -45,21 +42,51 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str] = KEY, order: Seq
     return tagged.withColumn("_newest", newest).where("_new = _newest").drop("_new", "_newest")
 
 
+def _one_per_key(changes: DataFrame) -> DataFrame:
+    """One change per key: the latest if they have a time, else the one with the largest limits, so that a table never grows by them."""
+    return latest_per_key(changes, KEY, ["time"] if "time" in changes.columns else LIMIT_COLUMNS)
+
+
 def update_limits(limits: DataFrame, changes: DataFrame) -> DataFrame:
-    """Replace the six limit columns, and only them, for the keys in `changes` (unique per key)."""
-    renamed = changes.select(*KEY, *[F.col(c).alias(f"_new_{c}") for c in LIMIT_COLUMNS], F.lit(True).alias("_hit"))
+    """Replace the six limit columns, and only them, for the keys in `changes`. Of several changes of a key the latest counts."""
+    times = ["time"] if "time" in changes.columns else []
+    chosen = _one_per_key(changes.select(*KEY, *LIMIT_COLUMNS, *times))
+    renamed = chosen.select(*KEY, *[F.col(c).alias(f"_new_{c}") for c in LIMIT_COLUMNS], F.lit(True).alias("_hit"))
     joined = join_same(limits, renamed, KEY, "left")
     values = {c: F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in LIMIT_COLUMNS}
     return joined.withColumns(values).select(*limits.columns)
 
 
+def merge(table: DataFrame, changes: DataFrame, keys: Sequence[str] = KEY, updated: Sequence[str] = LIMIT_COLUMNS, order: Sequence[str] = ("time",)) -> DataFrame:
+    """The table after all `changes`, in one full join: rows of the table's columns and an `action`.
+
+    An upsert puts the row in place of the key's or adds it, an update replaces the columns `updated` of a key that is there, a delete
+    takes the key out. Of several changes of a key the last one by `order` (columns of the changes) counts. Keys are unique in the table.
+    """
+    others = [c for c in table.columns if c not in keys]
+    chosen = latest_per_key(changes, keys, order)
+    new = chosen.select(*[F.col(k).alias(f"_new_{k}") for k in keys], *[F.col(c).alias(f"_new_{c}") for c in others], F.col("action").alias("_action"))
+    same = F.expr(" AND ".join(f"`{k}` <=> `_new_{k}`" for k in keys))
+    joined = table.withColumn("_old", F.lit(True)).join(new, same, "full")
+    action, old = F.col("_action"), F.coalesce("_old", F.lit(False))
+    kept = joined.filter(F.when(action == DELETE, F.lit(False)).when(action == UPDATE, old).otherwise(True))
+
+    def value(c: str) -> Column:
+        if c in keys:
+            return F.when(F.coalesce("_old", F.lit(False)), F.col(c)).otherwise(F.col(f"_new_{c}"))
+        replaced = (action == UPSERT) | (action == UPDATE) if c in updated else action == UPSERT
+        return F.when(replaced, F.col(f"_new_{c}")).otherwise(F.col(c))
+
+    return kept.select(*[value(c).alias(c) for c in table.columns])
+
+
 def delete_keys(table: DataFrame, gone: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
     return join_same(table, gone.select(*keys), keys, "left_anti")
 
 
 def apply_recheck(limits: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Limits after a re-check: one join carries both the updates and the deletions."""
-    chosen = decisions.select(*KEY, "action", *[F.col(c).alias(f"_new_{c}") for c in LIMIT_COLUMNS])
+    """Limits after a re-check: one join carries both the updates and the deletions. Decisions are unique per key or made so."""
+    chosen = _one_per_key(decisions.select(*KEY, "action", *LIMIT_COLUMNS)).select(*KEY, "action", *[F.col(c).alias(f"_new_{c}") for c in LIMIT_COLUMNS])
     joined = join_same(limits, chosen, KEY, "left").filter(F.coalesce(F.col("action") != "delete", F.lit(True)))
     values = {
         c: F.when(F.col("action") == "update", F.col(f"_new_{c}")).otherwise(F.col(c)) for c in LIMIT_COLUMNS

@@ -1,4 +1,4 @@
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from frames import START, measurements
@@ -100,7 +100,7 @@ def test_labels_and_the_last_day(spark):
     clipped = capability(frame, "week", F.lit("2024-01-30").cast("date"), F.lit("2024-01-31").cast("date")).first()
     assert (clipped.weektime, clipped.week) == ("2024-01-30至2024-01-31", "WEEK5")
     assert capability(frame, "quarter").first().quarter == "Q1"
-    kept = slices.day_span(frame, "mdate", F.lit("2024-01-31").cast("date"), F.lit("2024-01-31").cast("date"))
+    kept = slices.day_span(frame, "mdate", frame.limit(1).select(*[F.lit("2024-01-31").cast("date").alias(c) for c in ("begin", "end")]))
     assert kept.count() == 32
 
 
@@ -121,4 +121,4 @@ def test_next_bounds(spark):
     as_of = F.lit("2024-02-10").cast("date")
     assert tuple(slices.next_month_bounds(done, "e", day, as_of).first()) == (date(2024, 2, 1), date(2024, 2, 29))
     assert tuple(slices.next_month_bounds(done.limit(0), "e", day, as_of).first()) == (date(2020, 8, 1), date(2024, 2, 29))
-    assert slices.next_period_begin(done, "e", day).first().begin == date(2024, 2, 1)
+    assert slices.next_period_begin(done, "e", day).first().begin == datetime(2024, 2, 1)

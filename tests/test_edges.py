@@ -8,12 +8,12 @@ from frames import at, limits, measurements, results
 from pyspark.sql import functions as F
 
 from shopgauge.functions.numbers import fixed3
-from shopgauge.operators.keyed import spread
 from shopgauge.operators.limits import control_limits
 from shopgauge.operators.points import chart_points
 from shopgauge.operators.recheck import relimit
 from shopgauge.operators.rules import judge
-from shopgauge.operators.subgroups import SAMPLE_ORDER, moving_range, process_sheets, subgroup_stats
+from shopgauge.operators.slots import SLOT, cut_points, with_slots
+from shopgauge.operators.subgroups import moving_range, process_sheets, subgroup_stats
 from shopgauge.schema import KEY
 from shopgauge.sources.store import row_id
 
@@ -76,4 +76,4 @@ def test_moving_range_over_several_slots(spark):
     stats = subgroup_stats(measurements(spark, rows))
     one, many = (sorted(map(str, moving_range(stats, slots).select(*KEY, "id_no", "range").collect())) for slots in (1, 5))
     assert one == many
-    assert spread(stats, KEY, SAMPLE_ORDER, 5).select("_slot").distinct().count() > 1
+    assert with_slots(stats, KEY, "mdate", cut_points(stats, KEY, "mdate", 5)).select(SLOT).distinct().count() > 1

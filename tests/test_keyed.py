@@ -5,7 +5,8 @@ from frames import at
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shopgauge.operators.keyed import SLOT, first_n, join_same, latest_per_key, look_back, ranked, spread
+from shopgauge.operators.keyed import first_n, join_same, latest_per_key, look_back, ranked
+from shopgauge.operators.slots import SLOT, cut_points, with_slots
 
 
 @pytest.fixture(scope="module")
@@ -22,11 +23,53 @@ def rows_of(df, *columns):
     return sorted(df.select(*columns).collect(), key=str)
 
 
-def test_spread_splits_the_hot_key_evenly(skewed):
-    slots = spread(skewed, ["k"], ["t", "id"], 12)
-    sizes = [r["count"] for r in slots.groupBy(SLOT).count().collect()]
-    assert len(sizes) == 12 and max(sizes) < 200
-    assert slots.filter("k = 'hot'").select(SLOT).distinct().count() >= 4
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_slots_split_the_hot_key_evenly(spark, skewed):
+    slots = with_slots(skewed, ["k"], "t", cut_points(skewed, ["k"], "t", 12))
+    sizes = {(r.k, r[SLOT]): r["count"] for r in slots.groupBy("k", SLOT).count().collect()}
+    hot = [n for (k, _), n in sizes.items() if k == "hot"]
+    # A slot holds a twelfth of the rows and those of one more second at most.
+    most = skewed.filter("k = 'hot'").groupBy("t").count().agg(F.max("count")).first()[0]
+    assert len(hot) >= 4 and max(hot) <= 100 + most
+    assert all(slot == 0 for k, slot in sizes if k not in ("hot", None))
+    assert cut_points(skewed, ["k"], "t").count() == 0
+
+
+def test_slots_follow_from_the_rows_alone(skewed):
+    def slots(df):
+        return sorted(map(str, with_slots(df, ["k"], "t", cut_points(df, ["k"], "t", 9)).collect()))
+
+    assert slots(skewed) == slots(skewed.repartition(7)) == slots(skewed.coalesce(1))
+
+
+def test_many_slots_of_one_key(spark):
+    """More slots than a chunk of cuts holds, NULL times first, numbers before and after each slot."""
+    rows = spark.createDataFrame([("a", None if i < 5 else at(i), i) for i in range(700)], "k string, t timestamp_ntz, i int")
+    found = with_slots(rows, ["k"], "t", cut_points(rows, ["k"], "t", 350), sizes=True).orderBy("i").collect()
+    slots = [r[SLOT] for r in found]
+    assert slots == sorted(slots) and slots[-1] > 300 and slots[:5] == [0] * 5
+    for r in found:
+        assert r["_before"] == sum(s < r[SLOT] for s in slots) and r["_after"] == sum(s > r[SLOT] for s in slots)
+
+
+@pytest.mark.parametrize("kind", ["date", "long", "double", "timestamp"])
+def test_slots_by_other_kinds_of_time(spark, kind):
+    time = {"date": "date_add(DATE'2024-01-01', int(id / 3))", "long": "id", "double": "id / 7", "timestamp": "timestamp_seconds(id)"}[kind]
+    rows = spark.range(300).selectExpr("'a' AS k", f"{time} AS t", "id")
+    found = ranked(rows, ["k"], ["t", "id"], slots=6).orderBy("id").collect()
+    assert [r.num for r in found] == list(range(1, 301))
+    with pytest.raises(TypeError):
+        cut_points(rows.withColumn("t", F.lit("x")), ["k"], "t")
+
+
+def test_nothing_is_pinned_and_small_tables_are_not_split(skewed):
+    for frame in (ranked(skewed, ["k"], ["t", "id"]), look_back(skewed, ["k"], ["t", "id"], 1, lambda w: {"b": F.lag("v").over(w)})):
+        plan = plan_of(frame)
+        assert "RangePartitioning" not in plan and "rangepartitioning" not in plan
+        assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
 @pytest.mark.parametrize("slots", [None, 1, 7, 40])

@@ -4,14 +4,23 @@ import re
 from pathlib import Path
 
 import pytest
-from frames import limits, measurements, points
+from frames import limits, measurements, points, results
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.classic.dataframe import DataFrame
 
-from shopgauge.operators.capability import capability
+import shopgauge.operators.limits as limits_module
+from shopgauge.operators.capability import capability, day_moments
 from shopgauge.operators.limits import control_limits
 from shopgauge.operators.lookups import map_workshop, recode_station
 from shopgauge.operators.points import chart_points
 from shopgauge.operators.rules import judge
 from shopgauge.operators.subgroups import subgroup_stats
+from shopgauge.plans.catalog import QUERIES
+from shopgauge.plans.limits import scoped
+from shopgauge.schema import RESULTS
+from shopgauge.sources import store
+from shopgauge.sources.kept import Batches
 from shopgauge.sources.shared import pinned, work_folder
 from shopgauge.sources.tables import load
 
@@ -39,9 +48,64 @@ def test_sample_statistics_need_one_exchange(spark, rows):
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("HashAggregate") == 2
 
 
-def test_capability_needs_one_exchange(spark, rows):
+def test_capability_shuffles_days_after_readings(spark, rows):
+    """One exchange for the readings, summed up to days in the map tasks, and one for the days."""
     plan = plan_of(capability(rows, "month"))
-    assert plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2 and "SortAggregate" not in plan
+    assert plan_of(capability(day_moments(rows), "month")).count("Exchange hashpartitioning") == 2
+
+
+def checkpoints(monkeypatch, build):
+    """How many checkpoints building a frame takes, and the frame."""
+    calls = []
+    checkpoint = DataFrame.checkpoint
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda self, *a, **b: calls.append(1) or checkpoint(self, *a, **b))
+    return build(), len(calls)
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_judging_pins_the_sample_states_only(spark, monkeypatch):
+    _, times = checkpoints(monkeypatch, lambda: QUERIES["judge_full"](spark, SMALL))
+    assert times == 1
+    for name in ("rank_newest", "rank_oldest", "moving_range"):
+        _, times = checkpoints(monkeypatch, lambda: QUERIES[name](spark, SMALL))
+        assert times == 0
+
+
+def test_limits_read_the_facts_once(spark, monkeypatch):
+    """The scan lies before the pinned states; after them there is none."""
+    read = []
+    pinned_states = limits_module.pinned
+    monkeypatch.setattr(limits_module, "pinned", lambda df: read.append(plan_of(df)) or pinned_states(df))
+    plan = plan_of(QUERIES["limits_recode"](spark, SMALL))
+    assert len(read) == 1 and read[0].count("FileScan") == 1 and read[0].count("Exchange hashpartitioning") == 1
+    assert "FileScan" not in plan
+
+
+def test_merge_is_one_full_join(spark):
+    """One exchange picks the last change of each key, and each side goes to the join by one."""
+    lims = pinned(limits(spark, [{}, {"factory": None}]))
+    plan = plan_of(store.merge(lims, lims.withColumn("action", F.lit("upsert"))))
+    assert plan.count("Exchange hashpartitioning") == 3 and plan.count("FullOuter") == 1
+
+
+def test_one_source_is_pruned(spark, tmp_path):
+    schema = T.StructType([*RESULTS.fields, T.StructField("datasource", T.StringType())])
+    kept = Batches(spark, str(tmp_path / "r"), schema, by=["datasource"])
+    kept.commit(results(spark, [{}, {}]).withColumn("datasource", F.lit("a")), "1")
+    kept.commit(results(spark, [{}]).withColumn("datasource", F.lit("b")), "2")
+    chosen = scoped(kept.read(), datasource="b")
+    assert chosen.count() == 1 and kept.read().count() == 3
+    assert re.search(r"PartitionFilters: \[[^\]]*datasource#\d+ = b", plan_of(chosen))
+
+
+def test_bound_of_the_next_period_reaches_the_scan(spark):
+    """The bound is a scalar of the scan's own filter, with no cast around it: the scan puts its value in place before it reads."""
+    for name in ("next_period_slice", "next_month_slice"):
+        scan = re.search(r"FileScan parquet \[l_orderkey.*", plan_of(QUERIES[name](spark, SMALL))).group(0)
+        assert re.search(r"DataFilters: \[[^\]]*l_shipdate#\d+ >= Subquery", scan), scan
 
 
 def test_lookups_do_not_shuffle(spark, rows):
