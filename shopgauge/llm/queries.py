@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgauge.llm import anchors, decontaminate, jaccard, language, lockstep, packing, pages, pii, quality, repair, rollup, suffixes, topk
+from shopgauge.llm import anchors, decontaminate, jaccard, language, lockstep, oracles, packing, pages, pii, quality, repair, rollup, suffixes, topk
 from shopgauge.llm.common import held_out, ship, written
 from shopgauge.sources.shared import work_folder
 from shopgauge.sources.tables import load
@@ -165,3 +165,11 @@ def op12_pii(spark: SparkSession, folder: str) -> DataFrame:
 def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
     """Repair of all conversations after damage: what was wrong, what the repair costs, and its result."""
     return repair.audits(repair.repair(repair.damaged(load(spark, folder, "conversations"))))
+
+
+ORACLES |= {
+    "op1_topk": oracles.TOPK,
+    "op2_substring_dedup": oracles.SUBSTRINGS,
+    "op3_jaccard_join": oracles.JACCARD,
+    "op13_conversations": oracles.CONVERSATIONS,
+}
