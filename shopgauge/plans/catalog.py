@@ -138,16 +138,22 @@ def modal_pcs(spark, folder):
     return taken.groupBy(*KEY).agg(subgroups.modal_size().alias("pcs")).select("op_code", "pcs")
 
 
+def _ranged(spark, folder, slots=None):
+    """Samples with their range. Slots come from the times of the measurements, which need no statistics to be counted."""
+    rows = _patrols(spark, folder)
+    return subgroups.moving_range(subgroups.subgroup_stats(rows), cuts=cut_points(rows, KEY, "mdate", slots))
+
+
 @query
 def moving_range(spark, folder):
-    ranged = subgroups.moving_range(_stats(spark, folder))
+    ranged = _ranged(spark, folder)
     return ranged.select(*SHEET, "n", fixed3(F.col("range")).alias("range"))
 
 
 @query
 def moving_range_slots(spark, folder):
     """The same with every process cut into slots."""
-    ranged = subgroups.moving_range(_stats(spark, folder), SLOTS)
+    ranged = _ranged(spark, folder, SLOTS)
     return ranged.select(*SHEET, "n", fixed3(F.col("range")).alias("range"))
 
 
