@@ -54,13 +54,15 @@ _STRONG = frozenset(
     "ad ads adv advert adverts advertisement sponsor sponsored promo comment comments commentlist reply replies disqus respond related recommended "
     "share sharing social newsletter cookie cookies sidebar nav navigation menu footer tags".split()
 )
-#: Bad words that inside an article are part of it.
-_HEADS = frozenset("header masthead byline".split())
+#: Words that name the box and not what is in it.
+_BOX = frozenset("area bar block box button buttons container form group icons inner link links list module outer panel post posts section stories unit widget wrap wrapper".split())
+#: Inside an article a name has to say nothing but such things, and one of these words: "related-posts" goes, "related-work" stays.
+_SURE = _STRONG - {"respond"} | frozenset("consent gdpr popup modal paywall subscription subscribe signup advertising promotion banner".split())
 _ANSWER = frozenset("has with no".split())
 
 
-def _is_outside(name: str, attributes: str, inside: bool) -> bool:
-    if name in _OUTSIDE or name == "header" and not inside:
+def _is_outside(name: str, attributes: str, inside: bool, forms: bool) -> bool:
+    if name in _OUTSIDE and not (forms and name in ("form", "fieldset")) or name == "header" and not inside:
         return True
     if not attributes or name in ("html", "body", "main"):
         return False
@@ -77,14 +79,18 @@ def _is_outside(name: str, attributes: str, inside: bool) -> bool:
                 words = [w.lower() for w in _TOKEN.findall(part)]
                 bad = {w for k, w in enumerate(words) if w in _BAD and not (k and words[k - 1] in _ANSWER)}
                 if inside:
-                    bad -= _HEADS
-                if bad and (bad & _STRONG or not _GOOD.intersection(words)):
+                    if bad & _SURE and all(w in _BAD or w in _BOX for w in words):
+                        return True
+                elif bad and (bad & _STRONG or not _GOOD.intersection(words)):
                     return True
     return False
 
 
-def lines(page: str) -> list[tuple[str, int, bool]]:
-    """(text, length of text that is no link, inside an article or main element) for every block of the page outside menus and the like."""
+def lines(page: str, forms: bool = False) -> list[tuple[str, int, bool]]:
+    """(text, length of text that is no link, inside an article or main element) for every block of the page outside menus and the like.
+
+    With `forms` the text of forms counts as that of the page.
+    """
     out: list[tuple[str, int, bool]] = []
     stack: list[tuple[str, bool, bool, bool]] = []  # name, outside, article, link
     opened: dict[str, int] = {}
@@ -164,7 +170,7 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
             close()
         if name in _VOID or (drawn or name in ("svg", "math")) and m["attributes"].endswith("/"):
             continue
-        bad = _is_outside(name, m["attributes"], article > 0)
+        bad = _is_outside(name, m["attributes"], article > 0, forms)
         good = not bad and (name in ("article", "main") or 'role="main"' in m["attributes"])
         # An <a> that only names a place is no link.
         keys = {k[1].lower() for k in _ATTRIBUTE.finditer(m["attributes"]) if k[1]} if name == "a" else ()
@@ -211,11 +217,15 @@ def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
     """The article's blocks joined by newlines; empty for a page without text.
 
     If the page marks its article, and the marked text is no shorter than what surges outside it, all blocks in it are the article.
-    Else the article is what surges on the page: the sum has to exceed `surge`, and if it nowhere does, any text counts.
+    Else the article is what surges on the page: the sum has to exceed `surge`, and if it nowhere does, any text counts. A page on which
+    nothing surges outside forms, but something within them, stands in a form as a whole.
     """
     if not page:
         return ""
     found = lines(page)
+    if "<form" in page.lower() and not any(x[2] for x in found) and not _kept(found, window, surge):
+        within = lines(page, forms=True)
+        found = within if any(x[2] for x in within) or _kept(within, window, surge) else found
     marked = [x for x in found if x[2]]
     rest = _kept([x for x in found if not x[2]], window, surge) if marked else []
     if marked and sum(len(x[0]) for x in marked) >= sum(len(x[0]) for x in rest):

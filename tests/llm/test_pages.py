@@ -89,3 +89,19 @@ def test_svg_and_math(page, want):
 ])
 def test_article_whole_and_trusted(page, want):
     assert main_text(page) == want
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<article><p>One.</p><section id='discussion'><h2>Discussion</h2><p>Two.</p></section></article>", "One.\nDiscussion\nTwo."),
+    ("<article><section id='search-strategy'><p>One.</p></section><p>Two.</p></article>", "One.\nTwo."),
+    ("<article><p class='side-effects'>One.</p><p>Two.</p></article>", "One.\nTwo."),
+    ("<article><h2 id='related-work'>Related work</h2><p>Two.</p></article>", "Related work\nTwo."),
+    (f"<body><form><div><p>{LONG}</p><p>{LONG}</p></div><input></form></body>", f"{LONG.strip()}\n{LONG.strip()}"),
+    ("<body><form><article><p>One.</p></article></form></body>", "One."),
+    ("<article><p>One.</p><div class='share-buttons'>Share</div><div class='related-posts'>More</div><ol class='comment-list'><li>Nice</ol></article>", "One."),
+    ("<article><p>One.</p><div class='ad-box'>Buy</div><div id='newsletter-signup'>Join</div><div class='cookie-notice'>We</div></article>", "One."),
+    (f"<p>{LONG}</p><form><p>{LONG}</p></form>", LONG.strip()),
+    ("<form>Name <input></form>", ""),
+])
+def test_names_inside_an_article_and_pages_in_a_form(page, want):
+    assert main_text(page) == want
