@@ -72,25 +72,23 @@ def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(vectors, vectors.where("vec_id % 100 = 0"), k=10)
 
 
-@_query
-def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Totals after three batches: all documents come in, those labelled toxic go, those of low quality are counted by another version.
-
-    Every batch is sent twice.
-    """
-    text = F.col("text")
-    documents = load(spark, folder, "documents").select("doc_id", "source", "lang", rollup.word_count(text).alias("words"), F.ceil(F.coalesce(F.length(text), F.lit(0)) / 4).alias("quarters"))
+def _rolled(spark: SparkSession, folder: str, documents: DataFrame, first: tuple[str, str], second: tuple[str, str]) -> DataFrame:
+    """Totals after three batches: all documents come in by the first version, those labelled toxic go, those of low quality are counted
+    by the second one. Every batch is sent twice. A version is its name and the column of its counts."""
     documents = written(documents)
     labels = load(spark, folder, "labels").select("doc_id", "toxic", "quality")
     toxic = labels.where("toxic = 1").select("doc_id").distinct()
     low = labels.where("quality = 0").select("doc_id").distinct().join(toxic, "doc_id", "left_anti")
-    words, quarters = F.col("words"), F.col("quarters")
+
+    def of(rows: DataFrame, version: tuple[str, str]) -> DataFrame:
+        return rollup.counted(rows, version[0], F.col(version[1]))
+
     store = rollup.TokenRollup(spark, work_folder(spark))
     again = documents.join(low, "doc_id", "left_semi")
     batches = {
-        "first": rollup.signed(rollup.counted(documents, "words-1", words), 1),
-        "withdrawn": rollup.signed(rollup.counted(documents.join(toxic, "doc_id", "left_semi"), "words-1", words), -1),
-        "counted anew": rollup.revised(rollup.counted(again, "words-1", words), rollup.counted(again, "quarters-1", quarters)),
+        "first": rollup.signed(of(documents, first), 1),
+        "withdrawn": rollup.signed(of(documents.join(toxic, "doc_id", "left_semi"), first), -1),
+        "counted anew": rollup.revised(of(again, first), of(again, second)),
     }
     for _ in range(2):
         for name, changes in batches.items():
@@ -99,7 +97,23 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return store.totals()
 
 
-ORACLES["op6_token_counts"] = r"""
+@_query
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Token totals by source, language and tokenizer version: two vocabularies' ids of whole texts, kept through `_rolled`'s batches."""
+    counts = rollup.encoded(load(spark, folder, "documents"), VOCABULARY, PIECES)
+    return _rolled(spark, folder, counts, ("byte_bpe_50k", "byte_tokens"), ("piece_bpe_32k", "piece_tokens"))
+
+
+@_query
+def rollup_words(spark: SparkSession, folder: str) -> DataFrame:
+    """The same batches with counts that SQL has too: words, and a quarter of the length."""
+    text = F.col("text")
+    quarters = F.ceil(F.coalesce(F.length(text), F.lit(0)) / 4)
+    documents = load(spark, folder, "documents").select("doc_id", "source", "lang", rollup.word_count(text).alias("words"), quarters.alias("quarters"))
+    return _rolled(spark, folder, documents, ("words-1", "words"), ("quarters-1", "quarters"))
+
+
+ORACLES["rollup_words"] = r"""
 WITH counted AS (
     SELECT doc_id, source, lang,
         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS words,

@@ -8,10 +8,14 @@ Totals are the sum of all committed batches, or of the last compaction and the b
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopgauge.llm.tokens import Encoder, piece_counts
+
 GROUP = ["source", "lang", "version"]
 _STORED = "source string, lang string, version string, n_docs long, n_tokens long"
 
@@ -21,6 +25,26 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def encoded(documents: DataFrame, byte_vocabulary: str, piece_vocabulary: str) -> DataFrame:
+    """doc_id, source, lang, byte_tokens, piece_tokens: how many ids two vocabulary files give the whole text; 0 for NULL or empty texts.
+
+    Both are counted in one pass, so no text is shuffled. Further columns are not read, repeated rows are rows like any other.
+    """
+    names = ["doc_id", "source", "lang"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(byte_vocabulary)
+        for batch in batches:
+            text = batch.column(3)
+            tokens = [pa.array([*map(len, encoder.encode(text))], pa.int64()), pa.array(piece_counts(text, piece_vocabulary))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *tokens], names=[*names, "byte_tokens", "piece_tokens"])
+            del batch, text
+            pa.default_memory_pool().release_unused()
+
+    rows = documents.select(F.col("doc_id").cast("long"), *[F.col(c).cast("string") for c in ("source", "lang", "text")])
+    return rows.mapInArrow(run, "doc_id long, source string, lang string, byte_tokens long, piece_tokens long")
+
+
 def counted(documents: DataFrame, version: str, tokens: Column) -> DataFrame:
     """One count per document: doc_id, source, lang, version, tokens."""
     return documents.select("doc_id", "source", "lang", F.lit(version).alias("version"), tokens.cast("long").alias("tokens"))

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 from shopgauge.llm import hashing
-from shopgauge.llm.words import byte_vocabulary, slices
+from shopgauge.llm.words import byte_vocabulary, piece_vocabulary, slices
 
 _SPACES = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
@@ -93,3 +93,35 @@ class Encoder:
                     yield np.array(self.tokenizer.encode(whole.decode(), add_special_tokens=False).ids, np.int32)
                 else:
                     yield ids[border[k] : border[k + 1]]
+
+
+@functools.lru_cache(maxsize=2)
+def _pieces(path: str):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+def piece_counts(column: pa.Array, path: str) -> np.ndarray:
+    """Number of ids of every text under a piece vocabulary file; 0 for NULL.
+
+    Words are counted with the blanks before them. A text with a word that its ids don't spell goes through the file's own processor.
+    """
+    table, out = piece_vocabulary(path), np.zeros(len(column), np.int64)
+    for row, data, offsets in hashing.blocks(column, 1 << 20):
+        some = np.diff(offsets) > 0
+        blanked = np.insert(data, offsets[:-1][some], 32)
+        begins = offsets + np.concatenate([[0], np.cumsum(some)])
+        blank = blanked == 32
+        first = np.zeros(len(blanked), bool)
+        first[1:] = blank[1:] & ~blank[:-1]
+        first[begins[:-1][some]] = True
+        cuts = np.flatnonzero(first)
+        at = table.places(slices(blanked.tobytes(), cuts))
+        counts, spelt = table.count[at], table.spelt[at]
+        texts = len(offsets) - 1
+        of = np.searchsorted(begins, cuts, "right") - 1
+        out[row : row + texts] = np.bincount(of, counts, texts)[:texts]
+        for k in np.unique(of[~spelt]).tolist():
+            out[row + k] = len(_pieces(path).encode(data[offsets[k] : offsets[k + 1]].tobytes().decode()))
+    return out
