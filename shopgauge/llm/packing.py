@@ -111,31 +111,44 @@ def _places(found: list[tuple[int, list[int]]]) -> list[tuple[int, int, int, int
     return rows
 
 
-def packed(parts: DataFrame, size: int = 2048, slots: int = 64) -> DataFrame:
+def packed(parts: DataFrame, size: int = 2048, slot_rows: int = 20_000, sent_places: int = 1 << 20) -> DataFrame:
     """Every row of `parts` (doc_id, start, length, ids_crc32, ...) with sequence_id and offset, gapless from 0 in its sequence.
 
-    Only the histogram of lengths, `size` numbers at most, comes to the driver. Ranks within a length are counted in `slots` slots,
-    so a length that most pieces have is shared by many tasks. The table of places has a row per pattern and length; its size follows
-    `size`, not the data, so it is broadcast. No rows in, no rows out.
+    Only the histogram of lengths, `size` numbers at most, comes to the driver. Ranks within a length are counted in slots of about
+    `slot_rows` rows, so a length that most pieces have is shared by as many tasks as it needs. The table of places has a row per
+    pattern and length; up to `sent_places` rows of it are broadcast, more of them meet the ranks by a shuffle on length and slot-sized
+    stretches of ranks. Columns of `parts` named sequence_id or offset are replaced. No rows in, no rows out.
     """
-    parts = kept(parts)
+    parts = kept(parts.drop("sequence_id", "offset"))
     spark = parts.sparkSession
-    # The slot and the order inside it come from the row, so that a task that runs again gives the same ranks.
-    slotted = parts.withColumn("_slot", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(slots)))
-    counts = slotted.groupBy("length", "_slot").agg(F.count("*").alias("_n"))
-    by_slot = W.partitionBy("length").orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
-    before = counts.select("length", "_slot", F.coalesce(F.sum("_n").over(by_slot), F.lit(0)).alias("_before"))
     histogram = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    # A row per length that there is, `size` at most.
+    slots = spark.createDataFrame([(length, -(-n // slot_rows)) for length, n in histogram.items()], "_length long, _slots long")
+    row = F.struct(*[F.col(f"`{c}`") for c in parts.columns]).alias("_row")
+    # The slot and the order inside it come from the row, so that a task that runs again gives the same ranks.
+    order = [F.col(f"_row.{c}") for c in ("doc_id", "start", "ids_crc32")]
+    slotted = parts.select(row, F.col("length").alias("_length")).join(F.broadcast(slots), "_length")
+    slotted = slotted.withColumn("_slot", F.pmod(F.xxhash64(*order), F.col("_slots"))).drop("_slots")
+    counts = slotted.groupBy("_length", "_slot").agg(F.count("*").alias("_n"))
+    by_slot = W.partitionBy("_length").orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+    before = counts.select("_length", "_slot", F.coalesce(F.sum("_n").over(by_slot), F.lit(0)).alias("_before"))
+    own = W.partitionBy("_length", "_slot").orderBy(*order)
+    # The join is on the keys of the window, so the rows do not move a second time.
+    ranked = slotted.withColumn("_own", F.row_number().over(own) - 1).join(before, ["_length", "_slot"])
+    ranked = ranked.select("_row", "_length", (F.col("_own") + F.col("_before")).alias("_rank"))
+    ranked = ranked.withColumn("_stretch", F.floor(F.col("_rank") / slot_rows))
     places = _places(patterns(histogram, size))
-    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("length", "_first", "_last", "_sequence", "_copies", "_offset")])
-    own = W.partitionBy("length", "_slot").orderBy("doc_id", "start", "ids_crc32")
-    ranked = slotted.withColumn("_rank", F.row_number().over(own) - 1).join(F.broadcast(before), ["length", "_slot"])
-    ranked = ranked.withColumn("_rank", F.col("_rank") + F.col("_before"))
-    place = F.broadcast(spark.createDataFrame(places, schema).withColumnRenamed("length", "_length"))
-    at = (F.col("length") == F.col("_length")) & F.col("_rank").between(F.col("_first"), F.col("_last"))
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("_length", "_first", "_last", "_sequence", "_copies", "_offset")])
+    place = spark.createDataFrame(places, schema)
+    at = F.col("_rank").between(F.col("_first"), F.col("_last"))
+    if len(places) <= sent_places:
+        placed = ranked.join(F.broadcast(place.withColumnRenamed("_length", "_of")), (F.col("_length") == F.col("_of")) & at)
+    else:
+        over = F.sequence(F.floor(F.col("_first") / slot_rows), F.floor(F.col("_last") / slot_rows))
+        placed = ranked.join(place.withColumn("_stretch", F.explode(over)), ["_length", "_stretch"]).where(at)
     turn = F.col("_rank") - F.col("_first")
-    return ranked.join(place, at).select(
-        *[F.col(c) for c in parts.columns],
+    return placed.select(
+        "_row.*",
         (F.col("_sequence") + F.floor(turn / F.col("_copies"))).cast("long").alias("sequence_id"),
-        (F.col("_offset") + F.pmod(turn, F.col("_copies")) * F.col("length")).cast("long").alias("offset"),
+        (F.col("_offset") + F.pmod(turn, F.col("_copies")) * F.col("_length")).cast("long").alias("offset"),
     )

@@ -1,11 +1,12 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shopgauge.llm import packing
@@ -72,12 +73,23 @@ def check(rows, docs, size):
         assert at <= size
 
 
-def test_round_trip(spark):
+@pytest.mark.parametrize("sent_places", [1000, 0])
+def test_round_trip(spark, sent_places):
     docs = [(i, "some words and more " * (i % 37)) for i in range(300)] + [(900, None), (901, ""), (902, "x" * 50_000)]
     docs += [(1000 + i, "same text") for i in range(200)]
     frame = spark.createDataFrame([(*d, 5) for d in docs], SCHEMA)
-    rows = packing.packed(packing.pieces(frame, PATH, 64), 64, slots=4).collect()
+    rows = packing.packed(packing.pieces(frame, PATH, 64), 64, slot_rows=16, sent_places=sent_places).collect()
     check(rows, docs, 64)
+    assert max(Counter(r.length for r in rows).values()) > 10 * 16
+
+
+def test_names_that_clash(spark):
+    parts = packing.pieces(spark.createDataFrame([(1, "a b", 0), (2, "a", 0)], SCHEMA), PATH)
+    for name in ("sequence_id", "offset", "_slot", "_length", "_rank", "_of", "_first", "_before", "_row"):
+        parts = parts.withColumn(name, F.lit("mine"))
+    rows = packing.packed(parts).collect()
+    check(rows, [(1, "a b"), (2, "a")], 2048)
+    assert {(r._slot, r._length, r._rank, r._of, r._first, r._before, r._row) for r in rows} == {("mine",) * 7}
 
 
 def test_repeated_rows_and_null_ids(spark):
