@@ -65,7 +65,7 @@ def test_planted_edits(spark):
                 part[at : at + rng.randint(0, 1)] = rng.choices(vocabulary, k=rng.randint(0, 2))
             words[10:10] = part
         docs.append((d, ", ".join(words).title()))
-    rows = run(spark, docs, items, block_items=17)
+    rows = run(spark, docs, items, begins=3)
     assert {(r.doc_id, r.item_id, r.distance) for r in rows} == brute(docs, items)
     for r in rows:
         part = split(docs[r.doc_id][1])[r.start_word : r.end_word]
@@ -80,6 +80,34 @@ def test_edges(spark):
     assert run(spark, [], items) == [] and run(spark, docs, []) == []
 
 
+def test_no_budget(spark):
+    """Without edits a piece is a whole item, looked up by its first words; the rest has to be there too."""
+    long = " ".join(f"w{i}" for i in range(300))
+    docs = [(1, f"x {long} y"), (2, long.replace("w200", "no")), (3, " ".join(f"w{i}" for i in range(299)))]
+    got = [(r.doc_id, r.item_id, r.distance, r.start_word, r.end_word) for r in run(spark, docs, [(7, long)], rate=0.0)]
+    assert got == [(1, 7, 0, 1, 301)]
+    assert {(r.doc_id, r.distance) for r in run(spark, docs, [(7, long)])} == {(1, 0), (2, 1), (3, 1)}
+
+
+def test_many_hits(spark):
+    """Items of one word run, in a text that repeats it; the text is a third of all rows, the item too."""
+    docs = [(d, "a b " * 400) for d in range(30)] + [(d, f"c{d} a") for d in range(30, 90)]
+    items = [(i, "b a b a b a") for i in range(20)] + [(20, "a"), (21, "b a b a b b"), (22, "c31")]
+    rows = run(spark, docs, items, begins=50)
+    assert {(r.doc_id, r.item_id, r.distance) for r in rows} == brute(docs, items)
+    assert len(rows) == 30 * 22 + 60 + 1
+
+
+def test_clean(spark):
+    docs = [(1, None, 5), (2, "", 5), (3, "x A b c d, y", 5), (3, "x A b c d, y", 6), (4, "a b c", 5), (None, "a b c d", 5), (None, "q", 7)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, key int")
+    items = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (2, None)], ITEMS)
+    got = decontaminate.clean(frame, items)
+    assert got.columns == frame.columns
+    assert sorted(got.collect(), key=str) == sorted(frame.where("text is null or text in ('', 'a b c', 'q')").collect(), key=str)
+    assert decontaminate.clean(frame, items.limit(0)).count() == len(docs) and decontaminate.clean(frame.limit(0), items).count() == 0
+
+
 @pytest.mark.parametrize("folder", ["/root/testdata/sf0.001"])
 def test_query(spark, folder):
     from shopgauge.llm.queries import QUERIES
