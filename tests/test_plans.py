@@ -17,6 +17,7 @@ from shopgauge.operators.points import chart_points
 from shopgauge.operators.rules import judge
 from shopgauge.operators.subgroups import subgroup_stats
 from shopgauge.plans.catalog import QUERIES
+from shopgauge.plans.clean import clean_inspections
 from shopgauge.plans.limits import scoped
 from shopgauge.schema import RESULTS
 from shopgauge.sources import store
@@ -145,3 +146,22 @@ def test_no_row_leaves_spark_inside_the_package():
         source = path.read_text()
         for call in (".collect(", ".toPandas(", ".first(", ".take(", ".rdd.map", "udf(", "InPandas", "crossJoin", "localCheckpoint"):
             assert call not in source, (path, call)
+
+
+def test_inspection_tasks_hold_a_bounded_number_of_rows(spark):
+    """However few partitions the session asks for, join and row ids get as many as the rows need."""
+    header = spark.range(300).select(
+        "id", F.lit("SMT").alias("workshop_code"), *[F.lit("x").alias(c) for c in ("mdate", "first_time", "rcard", "part_spec", "pixel", "op_code", "sta_code", "eattribute1", "result")]
+    )
+    detail = spark.range(6000).select((F.col("id") % 310).alias("id_no"), F.lit("a").alias("testitem"), F.lit(0.0).alias("lower"), F.lit(1.0).alias("upper"), (F.col("id") % 3).cast("string").alias("tdata"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        found = clean_inspections(header, detail, task_rows=200)
+        largest = found.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        ids = {r.id for r in found.select("id").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert largest < 1000
+    assert len(ids) == detail.filter("id_no < 300").count()
+    assert ids == {r.id for r in clean_inspections(header, detail).select("id").collect()}
