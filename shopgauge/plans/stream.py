@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from shopgauge.operators.keyed import first_n
 from shopgauge.operators.points import charted
 from shopgauge.operators.rules import DEPTH, judge
+from shopgauge.operators.slots import cut_points
 from shopgauge.operators.subgroups import STATE, merge_states, sample_states, sheet_states, usable_sheets
 from shopgauge.schema import KEY, POINTS, RESULTS, STREAM_STATE, SUBGROUP
 from shopgauge.sources.kept import Batches, Versions
@@ -52,8 +53,10 @@ class JudgedStream:
         sheets = pinned(before.unionByName(closing.select(*before.columns)))
         # All sheets of earlier batches are older than all that close now.
         mark = state.filter("closed").agg(F.coalesce(F.max("begin_mdate"), F.lit(_LONG_AGO).cast("timestamp_ntz"))).scalar()
-        points = charted(usable_sheets(sheets)).select(*POINTS.fieldNames())
-        self.results.commit(judge(points, limits, self.rules, mark=mark, **self.options), batch)
+        # One set of slots for both looks back: the points' times are those of the sheets, and judging would chart them again to cut them.
+        options = {"cuts": pinned(cut_points(usable_sheets(sheets), KEY, "mdate", self.options.get("slots"))), **self.options}
+        points = charted(usable_sheets(sheets), options["cuts"]).select(*POINTS.fieldNames())
+        self.results.commit(judge(points, limits, self.rules, mark=mark, **options), batch)
         last = first_n(sheets, KEY, [F.desc("mdate"), F.desc("id_no")], self.tail).withColumn("begin_mdate", F.col("mdate"))
         kept = [c for c in STATE if c in last.columns]
         tail = last.select(*KEY, *SUBGROUP, *[F.col(c) if c in kept else F.lit(None).alias(c) for c in STATE], F.lit(True).alias("closed"))

@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.classic.dataframe import DataFrame
 
+import shopgauge.operators.keyed as keyed_module
 import shopgauge.operators.limits as limits_module
 from shopgauge.operators.capability import capability, day_moments
 from shopgauge.operators.limits import control_limits
 from shopgauge.operators.lookups import map_workshop, recode_station
 from shopgauge.operators.points import chart_points
 from shopgauge.operators.rules import judge
+from shopgauge.operators.slots import cut_points
 from shopgauge.operators.subgroups import subgroup_stats
 from shopgauge.plans.catalog import QUERIES
 from shopgauge.plans.clean import clean_inspections
 from shopgauge.plans.limits import scoped
+from shopgauge.plans.stream import JudgedStream
 from shopgauge.schema import RESULTS
 from shopgauge.sources import store
 from shopgauge.sources.kept import Batches
@@ -165,3 +168,16 @@ def test_inspection_tasks_hold_a_bounded_number_of_rows(spark):
     assert largest < 1000
     assert len(ids) == detail.filter("id_no < 300").count()
     assert ids == {r.id for r in clean_inspections(header, detail).select("id").collect()}
+
+
+def test_stream_of_batches_ranks_the_events_once(spark, monkeypatch):
+    """The batches come from written measurements, and one set of slots serves both looks back."""
+    read = []
+    run = JudgedStream.run
+    monkeypatch.setattr(JudgedStream, "run", lambda self, name, rows, *a: read.append(rows.inputFiles()) or run(self, name, rows, *a))
+    cut = []
+    monkeypatch.setattr(keyed_module, "cut_points", lambda *a, **b: cut.append(1) or cut_points(*a, **b))
+    QUERIES["judge_stream_of_batches"](spark, SMALL)
+    assert len(read) == 6 and not any("events" in f for files in read for f in files)
+    # That of the fixture's ranks.
+    assert len(cut) == 1
