@@ -121,6 +121,24 @@ def runs(hashes: np.ndarray, start: np.ndarray, length: int, family: int = 0) ->
     return _spans(hashes, start, start + length, _RUN_BASE[family])
 
 
+def windows(hashes: np.ndarray, length: int, family: int = 0) -> np.ndarray:
+    """What `runs` gives for all starts there are, one after another, which saves looking them up."""
+    n = max(0, len(hashes) - length + 1)
+    if length > LONGEST:
+        return runs(hashes, np.arange(n), length, family)
+    base = _RUN_BASE[family]
+    inverse = pow(base, -1, 2**64)
+    out = np.empty(n, np.uint64)
+    for low in range(0, n, STRETCH):
+        part = hashes[low : min(low + STRETCH, n) + length - 1]
+        prefix = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * powers(base, len(part)), out=prefix[1:])
+        found = prefix[length:] - prefix[:-length]
+        found *= powers(inverse, len(found))
+        out[low : low + len(found)] = mix(found)
+    return out
+
+
 def spans(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, family: int = 0) -> np.ndarray:
     """Hash of the items from each start to each end."""
     return _spans(hashes, start, end, _RUN_BASE[family])

@@ -79,3 +79,10 @@ def test_words_of_equal_polynomials_in_shingles_and_tokens(spark):
 
     texts = [f"{one} {two}", two, one]
     assert [x.tolist() for x in Encoder(PATH).encode(pa.array(texts))] == [ids(t) for t in texts]
+
+
+def test_windows_are_all_runs():
+    values = np.random.default_rng(4).integers(0, 2**64, 3 * hashing.STRETCH // 2, dtype=np.uint64)
+    for some, length in ((values, 20), (values[:50], 20), (values[:20], 20), (values[:19], 20), (values[:0], 20), (values[:300], 200)):
+        starts = np.arange(max(0, len(some) - length + 1))
+        assert np.array_equal(hashing.windows(some, length), hashing.runs(some, starts, length))

@@ -36,6 +36,15 @@ def test_smallest(texts):
         assert got.tolist() == want
 
 
+@given(st.lists(st.text("ab", max_size=90), min_size=1, max_size=8), st.integers(5, 50))
+def test_least_value_of_every_string_in_flat_arrays(texts, length):
+    bodies = [t.encode() for t in texts]
+    lows = np.arange(len(bodies))[::-1].copy()
+    got = suffixes._least(np.frombuffer(b"".join(bodies), np.uint8), np.cumsum([0, *map(len, bodies)]), lows, length)
+    want = [(k, i, min(int(low) for low, b in zip(lows, bodies) if body[i : i + length] in b)) for k, body in enumerate(bodies) for i in range(len(body) - length + 1)]
+    assert list(zip(*(v.tolist() for v in got))) == want
+
+
 def brute(docs, length=50):
     first = {}
     for i, t in docs:
