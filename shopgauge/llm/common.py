@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 import io
 import os
@@ -42,6 +44,23 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _allocator():
+    """The C library of this process, if it can give memory back to the system."""
+    try:
+        library = ctypes.CDLL(None)
+        return library if hasattr(library, "malloc_trim") else None
+    except OSError:
+        return None
+
+
+def give_back() -> None:
+    """Give memory that this worker has freed back to the system: a worker goes from stage to stage and would hold the most of each."""
+    pa.default_memory_pool().release_unused()
+    if _allocator():
+        _allocator().malloc_trim(0)
+
+
 def kept(df: DataFrame) -> DataFrame:
     """The rows written to the shared checkpoint folder, so that a lost executor cannot change or repeat them."""
     return pinned(df)
@@ -78,7 +97,7 @@ def append(df: DataFrame, text: str | Column, added: str, compute: Callable[[pa.
             columns = batch.columns[:-1]
             yield pa.RecordBatch.from_arrays([*columns, *compute(batch.column(len(columns)))], names=names)
             del batch, columns
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     value = F.col(f"`{text}`").cast("string") if isinstance(text, str) else text
     # Chosen together, since the text may have the name of a column that is replaced.

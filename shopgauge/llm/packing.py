@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopgauge.llm.common import kept
+from shopgauge.llm.common import give_back, kept
 from shopgauge.llm.tokens import Encoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -47,7 +47,7 @@ def pieces(documents: DataFrame, vocabulary: str, size: int = 2048, end_id: int
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
             del rows, parts, columns
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     schema = PIECES + (", ids array<int>" if with_ids else "")
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, schema)

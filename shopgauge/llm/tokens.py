@@ -7,6 +7,7 @@ found here for many texts at once with NumPy; only words not seen before go thro
 from __future__ import annotations
 
 import functools
+import json
 import os
 import unicodedata
 from collections.abc import Iterator
@@ -15,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 from shopgauge.llm import hashing
+from shopgauge.llm.common import give_back
 from shopgauge.llm.words import byte_vocabulary, piece_vocabulary, slices
 
 _SPACES = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -63,25 +65,32 @@ def word_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 @functools.lru_cache(maxsize=2)
-def _special(path: str):
-    """(tokenizer, strings of its special tokens): for texts that hold one."""
+def _special(path: str) -> list[bytes]:
+    """Strings of the special tokens of a vocabulary file."""
+    with open(path, encoding="utf-8") as file:
+        return [t["content"].encode() for t in json.load(file)["added_tokens"]]
+
+
+@functools.lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    """The file's own tokenizer, for texts that hold the string of a special token; it takes 30 MB."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    return tokenizer, [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
+    return Tokenizer.from_file(path)
 
 
 class Encoder:
     """Ids of texts; strings of special tokens in a text become those tokens. Words are remembered per process, up to a bound in bytes."""
 
     def __init__(self, path: str):
-        self.table = byte_vocabulary(path)
-        self.tokenizer, self.special = _special(path)
+        give_back()
+        self.path, self.table, self.special = path, byte_vocabulary(path), _special(path)
+        give_back()
 
     def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
         """For each text in order, its ids as 32-bit numbers; NULL has none."""
-        for _, data, offsets in hashing.blocks(column, 1 << 20):
+        for _, data, offsets in hashing.blocks(column, 1 << 18):
             text = data.tobytes()
             cuts = word_cuts(data, offsets)
             ids, counts = self.table.tokens(self.table.places(slices(text, cuts)))
@@ -90,7 +99,7 @@ class Encoder:
             for k in range(len(offsets) - 1):
                 whole = text[offsets[k] : offsets[k + 1]] if special else b""
                 if special and any(s in whole for s in self.special):
-                    yield np.array(self.tokenizer.encode(whole.decode(), add_special_tokens=False).ids, np.int32)
+                    yield np.array(_tokenizer(self.path).encode(whole.decode(), add_special_tokens=False).ids, np.int32)
                 else:
                     yield ids[border[k] : border[k + 1]]
 

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shopgauge.llm import packing
+from shopgauge.llm import packing, tokens
 from shopgauge.llm.tokens import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -118,3 +118,14 @@ def test_query(spark, folder):
     check(rows, docs, 2048)
     used = sum(r.length for r in rows)
     assert used / (2048 * len({r.sequence_id for r in rows})) > 0.95
+
+
+def test_no_second_tokenizer_for_plain_texts():
+    """The one for special tokens takes 30 MB of a worker, so only a text that holds one loads it."""
+    import pyarrow as pa
+
+    tokens._tokenizer.cache_clear()
+    assert [b.tolist() for b in Encoder(PATH).encode(pa.array(["a b", None]))] == [ids("a b"), []]
+    assert tokens._tokenizer.cache_info().currsize == 0
+    assert [b.tolist() for b in Encoder(PATH).encode(pa.array(["a<|endoftext|>"]))] == [ids("a<|endoftext|>")]
+    assert tokens._tokenizer.cache_info().currsize == 1
