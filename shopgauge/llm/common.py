@@ -8,6 +8,7 @@ import gc
 import io
 import os
 import tempfile
+import time
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -111,6 +112,11 @@ def held_out(doc_id: str, parts: int, part: int) -> Column:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files of finished steps now: it does so once the driver's collector finds their frames gone."""
+    """Let Spark delete shuffle files of finished steps now: it does so once the driver's collector finds their frames gone.
+
+    The first collection only finds what still holds them; when that has been dropped, a moment later, a second one finds the frames.
+    """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.3)
+    spark.sparkContext._jvm.System.gc()

@@ -2,8 +2,8 @@
 
 Only strings that can repeat are sorted. Every string of `length` bytes is owned by its smallest hashed k-gram, which is the same
 wherever the string stands; strings whose owner is in one document only are left out. The others form pieces of text. Equal pieces are
-one, by 128 bits, and the text of one of them goes to a bucket by owner, so equal strings meet in one bucket. A bucket sorts the
-suffixes of its pieces: triples at two of three positions are sorted and named, names are sorted by recursion, the remaining suffixes
+one, by 128 bits, and where an owner has different ones the text of each goes to a bucket by owner, so equal strings meet in one bucket;
+where all are equal, every string repeats that is not in the smallest document. A bucket sorts the suffixes of its pieces: triples at two of three positions are sorted and named, names are sorted by recursion, the remaining suffixes
 are merged in; then adjacent prefixes are compared. Whole copies of a smaller document are set aside first.
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopgauge.llm import hashing
@@ -22,57 +22,79 @@ from shopgauge.llm.common import append, discard, release, written
 GRAM = 20
 #: Bytes whose owners are found at a time, few enough for a processor's cache.
 _SEGMENT = 1 << 16
+#: Owners whose pieces are all equal, that have different ones, and that have so many that their strings may have to be spread.
+_EQUAL, _MIXED, _HOT = 0, 1, 2
 _KINDS = {
-    "anchor": pa.int64(), "key": pa.int64(), "two": pa.int64(), "doc_id": pa.int64(), "start": pa.int32(), "size": pa.int32(), "body": pa.binary(), "high": pa.int64(),
+    "key": pa.int64(), "two": pa.int64(), "doc_id": pa.int64(), "start": pa.int32(), "size": pa.int32(), "body": pa.binary(), "high": pa.int64(),
 }
 
 
-def _ordered(key: np.ndarray, bits: int) -> np.ndarray:
-    """Positions in the order of the numbers, which have so many bits; equal ones stay in order.
+def _ordered(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in the order of the numbers, which have so many bits, and the numbers in that order; equal ones stay in order.
 
-    Number and position are sorted as one, which takes half the time of sorting positions by number.
+    Number and position are sorted as one, which takes a fraction of the time of sorting positions by number.
     """
     place = len(key).bit_length()
     if bits + place > 63:
-        return np.argsort(key, kind="stable")
+        order = np.argsort(key, kind="stable")
+        return order, key[order]
     both = (key << place) | np.arange(len(key))
     both.sort()
-    return both & ((1 << place) - 1)
+    return both & ((1 << place) - 1), both >> place
 
 
-def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Start positions of all suffixes of a sequence of numbers from 1 on, in the order of their first `depth` symbols at least."""
+def suffix_array(symbols: np.ndarray, depth: int, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Start positions of all suffixes of a sequence of numbers from 1 on, in the order of their first `depth` symbols at least.
+
+    wanted: marks of the positions that are returned; the others are named where the order needs it, but neither ranked nor merged.
+    """
     n = len(symbols)
+    if wanted is None:
+        wanted = np.ones(n, bool)
     if n < 3:
-        return np.array(sorted(range(n), key=lambda i: symbols[i:].tolist()), np.int64)
+        return np.array(sorted(np.flatnonzero(wanted).tolist(), key=lambda i: symbols[i:].tolist()), np.int64)
+    bits = int(symbols.max()).bit_length()
+    if depth * bits + n.bit_length() <= 63:
+        # So few symbols are one number.
+        s = np.concatenate([symbols.astype(np.int64), np.zeros(depth, np.int64)])
+        at = np.flatnonzero(wanted)
+        key = s[at]
+        for k in range(1, depth):
+            key = (key << bits) | s[at + k]
+        return at[_ordered(key, depth * bits)[0]]
     s = np.concatenate([symbols.astype(np.int64), np.zeros(4, np.int64)])
-    bits = int(s.max()).bit_length()
     # If n is 1 modulo 3, the empty suffix at n is sampled too, so that the first part of the names ends with a smallest one.
     ones, twos = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     sampled = np.concatenate([ones, twos])
     if 3 * bits <= 63:
         key = np.concatenate([(s[k : k + 3 * len(t) : 3] << (2 * bits)) | (s[k + 1 : k + 1 + 3 * len(t) : 3] << bits) | s[k + 2 : k + 2 + 3 * len(t) : 3] for k, t in ((1, ones), (2, twos))])
-        order = _ordered(key, 3 * bits)
-        found = key[order]
+        order, found = _ordered(key, 3 * bits)
         fresh = found[1:] != found[:-1]
     else:
         order = np.lexsort((s[sampled + 2], s[sampled + 1], s[sampled]))
         t = sampled[order]
         fresh = (s[t[1:]] != s[t[:-1]]) | (s[t[1:] + 1] != s[t[:-1] + 1]) | (s[t[1:] + 2] != s[t[:-1] + 2])
+    # Where a wanted suffix is merged, its own rank or that of one of the two after it is looked up.
+    asked = np.concatenate([wanted, np.zeros(2, bool)])
+    asked[1:-1] |= wanted
+    asked[2:] |= wanted
+    asked = asked[sampled]
     if not fresh.all() and depth > 3:
         name = np.empty(len(sampled), np.int64)
         name[order] = np.concatenate([[1], 1 + np.cumsum(fresh)])
-        order = suffix_array(name, -(-depth // 3))
+        order = suffix_array(name, -(-depth // 3), asked)
+    else:
+        order = order[asked[order]]
     sampled = sampled[order]
     rank = np.zeros(n + 4, np.int64)
     rank[sampled] = np.arange(1, len(order) + 1)
-    sampled = sampled[sampled < n]
     places = len(order).bit_length()
-    zeros = np.arange(0, n, 3)
+    sampled = sampled[sampled < n]
+    sampled = sampled[wanted[sampled]]
+    zeros = 3 * np.flatnonzero(wanted[::3])
     # A suffix at a multiple of 3 is its first symbol and the rank of the rest.
-    rest = (s[:n:3] << places) | rank[1 : n + 1 : 3]
-    by = _ordered(rest, bits + places)
-    zeros, rest = zeros[by], rest[by]
+    by, rest = _ordered((s[zeros] << places) | rank[zeros + 1], bits + places)
+    zeros = zeros[by]
     before = np.zeros(len(sampled), np.int64)
     of_one = sampled % 3 == 1
     i = sampled[of_one]
@@ -85,8 +107,9 @@ def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
         _, both = np.unique(np.concatenate([(s[zeros] << 32) | s[zeros + 1], (s[i] << 32) | s[i + 1]]), return_inverse=True)
         pair, other = both[: len(zeros)], both[len(zeros) :]
     before[~of_one] = np.searchsorted((pair << places) | rank[zeros + 2], (other << places) | rank[i + 2])
-    out = np.empty(n, np.int64)
-    taken = np.zeros(n, bool)
+    total = len(zeros) + len(sampled)
+    out = np.empty(total, np.int64)
+    taken = np.zeros(total, bool)
     # Ties within the depth may come out of order by a place or two; a running maximum keeps the places distinct.
     place = np.arange(len(sampled)) + np.maximum.accumulate(before)
     out[place] = sampled
@@ -105,10 +128,9 @@ def _least(data: np.ndarray, offsets: np.ndarray, lows: np.ndarray, length: int)
     inner[first + sizes - 1] = False
     text[: len(symbols)][inner] = data
     symbols[inner] = data.astype(np.int64) + 2
-    order = suffix_array(symbols, length)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     inside = np.arange(len(symbols)) + length < (first + sizes)[owner]
-    order = order[inside[order]]
+    order = suffix_array(symbols, length, inside)
     # Neighbours are compared eight bytes at a time.
     step = 8 if length >= 8 else 1
     words = np.ndarray(len(symbols), np.uint64 if step == 8 else np.uint8, text, strides=(1,))
@@ -132,31 +154,34 @@ def smallest(bodies: list[bytes], lows: np.ndarray, length: int) -> list[np.ndar
     return np.split(value, np.searchsorted(owner, np.arange(1, len(bodies))))
 
 
-def owners(grams: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, text, owner) of all strings of `length` bytes: the first of the smallest k-grams in it. grams: a hash for every byte."""
-    start, text = hashing.starts(offsets, length)
-    span = length - GRAM + 1
-    owner = np.empty(len(start), np.int64)
-    low = 0
-    while low < len(start):
-        high = int(np.searchsorted(start, start[low] + _SEGMENT))
-        base, end = int(start[low]), int(start[high - 1]) + span
-        key = (grams[base:end] & np.uint64(0xFFFFFFFFFF000000)) | np.arange(end - base, dtype=np.uint64)
+def owned(grams: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, begin, end, owner) of all runs of strings of `length` bytes with one owner, as the bytes from a run's begin to its end.
+
+    The owner is the place of the first of the smallest k-grams in a string. grams: a hash for every byte.
+    """
+    span, strings = length - GRAM + 1, int(offsets[-1]) - length + 1
+    fresh = np.ones(max(0, strings) + 1, bool)
+    owner = np.empty(max(0, strings), np.int64)
+    for low in range(0, strings, _SEGMENT):
+        high = min(low + _SEGMENT, strings)
+        key = (grams[low : high + span - 1] & np.uint64(0xFFFFFFFFFF000000)) | np.arange(high - low + span - 1, dtype=np.uint64)
         have = 1
         while have < span:
             step = min(have, span - have)
             key = np.minimum(key[:-step], key[step:])
             have += step
-        owner[low:high] = (key[start[low:high] - base] & np.uint64(0xFFFFFF)).astype(np.int64) + base
-        low = high
-    return start, text, owner
-
-
-def _owned(column: pa.Array, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    for row, data, offsets in hashing.blocks(column):
-        if len(data) >= length:
-            grams = hashing.windows(hashing.byte_values(data), GRAM)
-            yield row, data, offsets, grams, *owners(grams, offsets, length)
+        owner[low:high] = (key & np.uint64(0xFFFFFF)).view(np.int64) + low
+    fresh[1:-1] = owner[1:] != owner[:-1]
+    # Strings that reach into the next text are runs of their own, which go.
+    over = np.maximum(offsets[1:] - length + 1, offsets[:-1])
+    fresh[over[over < strings]] = True
+    fresh[offsets[:-1][offsets[:-1] < strings]] = True
+    begin = np.flatnonzero(fresh)
+    begin, end = begin[:-1], begin[1:] - 1 + length
+    text = np.searchsorted(offsets, begin, "right") - 1
+    inside = end <= offsets[text + 1]
+    text, begin, end = text[inside], begin[inside], end[inside]
+    return text, begin, end, owner[begin]
 
 
 def _changes(*columns: np.ndarray) -> np.ndarray:
@@ -171,49 +196,61 @@ def _batch(columns: list, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[n]) for c, n in zip(columns, names)], names=names)
 
 
-def _anchors(length: int):
+def _pieces(length: int):
+    """Pieces of text around owners: a piece holds the strings of one owner. Those of one `key` in a block of texts are one row.
+
+    `key` is the hash of the owner, `two` an independent hash of the whole piece. A row is a piece of its smallest document; `more` has
+    the others of that key, by document, and is mostly NULL.
+    """
+    names = ["key", "two", "doc_id", "start", "size"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for row, _, offsets, grams, _, text, owner in _owned(batch.column(1), length):
-                at = _changes(text, owner)
-                columns = [grams[owner[at]].view(np.int64), ids[row + text[at]], owner[at] - offsets[text[at]]]
-                yield _batch(columns, ["anchor", "doc_id", "start"])
+            for row, data, offsets in hashing.blocks(batch.column(1)):
+                if len(data) < length:
+                    continue
+                grams = hashing.windows(hashing.byte_values(data), GRAM)
+                text, begin, end, owner = owned(grams, offsets, length)
+                two = hashing.spans(hashing.byte_values(data, 1), begin, end, 1).view(np.int64)
+                key, doc = grams[owner].view(np.int64), ids[row + text]
+                order = np.lexsort((doc, key))
+                at = _changes(key[order])
+                # In the order of the texts, in which equal ids and near starts follow each other, a shuffle takes half the space.
+                order = order[np.argsort(np.repeat(order[at], np.diff(np.append(at, len(order)))), kind="stable")]
+                columns = [c[order] for c in (key, two, doc, begin - offsets[text], end - begin)]
+                first = np.zeros(len(order), bool)
+                first[_changes(columns[0])] = True
+                rest = _batch([c[~first] for c in columns[1:]], names[1:])
+                counts = np.diff(np.append(np.flatnonzero(first), len(order))) - 1
+                border = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32(), mask=np.append(counts == 0, False))
+                out = _batch([c[first] for c in columns], names)
+                more = pa.ListArray.from_arrays(border, pa.StructArray.from_arrays(rest.columns, names=names[1:]))
+                yield out.append_column("more", more)
 
     return run
 
 
-def _pieces(length: int):
-    """Pieces of text around shared owners. A piece holds the strings of one owner; of a hot owner each string is a piece.
-
-    `key` is the hash of the owner, of a hot one with the edges of the string, `two` an independent hash of the whole piece.
-    """
+def _strings(length: int):
+    """The strings of given pieces, each as a piece. `key` tells an owner and the edges of a string, `two` is a hash of the string."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, places, hots = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2), batch.column(3)
-            for row, data, offsets, grams, start, text, owner in _owned(batch.column(1), length):
-                kind = np.zeros(len(data) + 1, np.int8)
-                for value, lists in ((1, places), (2, hots)):
-                    border = lists.offsets.to_numpy()[row : row + len(offsets)]
-                    kind[lists.values.to_numpy()[border[0] : border[-1]] + np.repeat(offsets[:-1], np.diff(border))] = value
-                use = kind[owner] > 0
-                start, text, owner = start[use], text[use], owner[use]
-                if not len(start):
-                    continue
-                hot = kind[owner] == 2
-                at = _changes(text, owner, np.where(hot, start, -1))
-                last = np.append(at[1:], len(start)) - 1
-                begin, end = start[at], start[last] + length
-                key = grams[owner[at]]
-                if hot.any():
-                    # Equal strings begin and end alike and have their owner at the same distance.
-                    values = hashing.byte_values(data)
-                    edge = hashing.runs(values, begin, 12) ^ hashing.runs(values, end - 12, 12, 1) ^ (owner[at] - begin).astype(np.uint64)
-                    key = np.where(hot[at], hashing.mix(key ^ edge), key)
-                two = hashing.spans(hashing.byte_values(data, 1), begin, end, 1).view(np.int64)
-                columns = [key.view(np.int64), two, ids[row + text[at]], begin - offsets[text[at]], end - begin]
-                yield _batch(columns, ["key", "two", "doc_id", "start", "size"])
+            ids, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2)
+            for row, data, offsets in hashing.blocks(batch.column(1)):
+                border = lists.offsets.to_numpy()[row : row + len(offsets)]
+                key, start, size = (c.to_numpy()[border[0] : border[-1]] for c in lists.values.flatten())
+                text = np.repeat(np.arange(len(offsets) - 1), np.diff(border))
+                counts = size - length + 1
+                piece = np.repeat(np.arange(len(counts)), counts)
+                start = start[piece].astype(np.int64) + np.arange(len(piece)) - (np.cumsum(counts) - counts)[piece]
+                text, begin = text[piece], start + offsets[text[piece]]
+                # Equal strings begin and end alike.
+                values, other = hashing.byte_values(data), hashing.byte_values(data, 1)
+                edge = hashing.runs(values, begin, 12) ^ hashing.runs(values, begin + length - 12, 12, 1)
+                key = hashing.mix(key[piece].view(np.uint64) ^ edge).view(np.int64)
+                two = hashing.runs(other, begin, length, 1).view(np.int64)
+                yield _batch([key, two, ids[row + text], start, np.full(len(start), length)], ["key", "two", "doc_id", "start", "size"])
 
     return run
 
@@ -252,29 +289,46 @@ def repeats(documents: DataFrame, length: int = 50, bucket_bytes: int = 1 << 21,
     """doc_id, starts: where strings of `length` bytes begin in a document that also begin in one with a smaller id.
 
     Starts come as runs {from, to}. Rows of one id are one document and must be equal; a NULL id or text holds nothing. Buckets get about
-    `bucket_bytes` of different text; an owner that more than `hot` documents have is spread over many buckets by the strings themselves.
+    `bucket_bytes` of different text; an owner of more than `hot` different pieces is spread over many buckets by the strings themselves.
     """
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null and text is not null")
     copies = _copies(texts, length)
     release(spark)
     texts = texts.join(copies.select("doc_id"), "doc_id", "left_anti")
-    anchors = texts.mapInArrow(_anchors(length), "anchor long, doc_id long, start int")
-    groups = anchors.groupBy("anchor").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high"), F.count("*").alias("_n"))
-    shared = written(groups.where("_low < _high").select("anchor", (F.col("_n") > hot).alias("hot")))
-    release(spark)
-    found = anchors.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("start").alias("places"), F.collect_set(F.expr("if(hot, start, null)")).alias("hots"))
-    places = written(found)
-    discard(shared)
-    release(spark)
-    near = texts.join(places, "doc_id").select("doc_id", "text", "places", "hots")
-    pieces = written(near.mapInArrow(_pieces(length), "key long, two long, doc_id long, start int, size int"))
-    discard(places)
+    found = texts.mapInArrow(_pieces(length), "key long, two long, doc_id long, start int, size int, more array<struct<two: long, doc_id: long, start: int, size: int>>")
+    of_key = Window.partitionBy("key")
+    found = found.withColumns({
+        "low": F.min("doc_id").over(of_key),
+        "high": F.max(F.expr("if(more is null, doc_id, element_at(more, -1).doc_id)")).over(of_key),
+        "_n": F.sum(F.expr("if(more is null, 1, 1 + size(more))")).over(of_key),
+        "_one": (F.min("two").over(of_key) == F.max("two").over(of_key)) & ~F.max(F.expr("more is not null and exists(more, m -> m.two <> two)")).over(of_key),
+    })
+    kind = F.when(F.col("_one"), _EQUAL).when(F.col("_n") > hot, _HOT).otherwise(_MIXED).alias("kind")
+    each = F.inline(F.expr("concat(array(struct(two, doc_id, start, size)), coalesce(more, array()))"))
+    shared = written(found.where("low < high").select("key", "low", kind, each))
     release(spark)
+    columns = ["key", "two", "doc_id", "start", "size"]
+    pieces = shared.where(F.col("kind") != _EQUAL).select(*columns, "kind")
+
     # Equal pieces are one: the one of the smallest document, wherever it stands there. All buffers are numbers.
-    same = pieces.groupBy("key", "two").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("high"), F.min_by("start", "doc_id").alias("start"), F.min("size").alias("size"))
-    firsts = written(same)
+    def different(found: DataFrame) -> DataFrame:
+        low = [F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("high"), F.min_by("start", "doc_id").alias("start")]
+        return found.groupBy("key", "two").agg(*low, F.min("size").alias("size"), F.min("kind").alias("kind"))
+
+    firsts = written(different(pieces))
     release(spark)
+    parts = []
+    many = firsts.where(F.col("kind") == _HOT).groupBy("key").count().where(F.col("count") > hot).select("key")
+    if not many.isEmpty():
+        many = written(many)
+        places = pieces.where(F.col("kind") == _HOT).join(many, "key").groupBy("doc_id").agg(F.collect_set(F.struct("key", "start", "size")).alias("places"))
+        near = texts.join(places, "doc_id").select("doc_id", "text", "places")
+        strings = written(near.mapInArrow(_strings(length), "key long, two long, doc_id long, start int, size int").withColumn("kind", F.lit(_MIXED)))
+        parts = [many, firsts, strings]
+        pieces = pieces.join(many, "key", "left_anti").unionByName(strings)
+        firsts = written(firsts.join(many, "key", "left_anti").unionByName(different(strings)))
+        release(spark)
     buckets = max(1, -(-(firsts.agg(F.sum("size")).first()[0] or 0) // bucket_bytes))
     chosen = firsts.groupBy("doc_id").agg(F.collect_list(F.struct("key", "two", "start", "size", "high")).alias("pieces"))
     bodies = written(texts.join(chosen, "doc_id").select("doc_id", "text", "pieces").mapInArrow(_bodies, "key long, two long, body binary, doc_id long, high long"))
@@ -302,10 +356,14 @@ def repeats(documents: DataFrame, length: int = 50, bucket_bytes: int = 1 << 21,
     discard(bodies)
     release(spark)
     back = pieces.select("key", "two", "doc_id", "start").join(ranges, ["key", "two"])
-    back = back.withColumn("run", F.explode(F.expr("filter(runs, r -> r.low < doc_id)")))
-    run = F.struct((F.col("start") + F.col("run.from")).alias("from"), (F.col("start") + F.col("run.to")).alias("to"))
-    out = written(back.groupBy("doc_id").agg(F.collect_set(run).alias("starts")))
-    discard(pieces, ranges)
+    runs = F.expr("transform(filter(runs, r -> r.low < doc_id), r -> struct(start + r.from as from, start + r.to as to))")
+    back = back.select("doc_id", runs.alias("runs")).where("size(runs) > 0")
+    # Where all pieces of an owner are equal there is nothing to sort: what is not in the smallest document repeats.
+    equal = shared.where((F.col("kind") == _EQUAL) & (F.col("doc_id") > F.col("low")))
+    whole = F.struct(F.col("start").alias("from"), (F.col("start") + F.col("size") - length + 1).alias("to"))
+    back = back.unionByName(equal.select("doc_id", F.array(whole).alias("runs")))
+    out = written(back.groupBy("doc_id").agg(F.flatten(F.collect_set("runs")).alias("starts")))
+    discard(shared, ranges, *parts)
     release(spark)
     return out.unionByName(copies.where("_long").drop("_long"))
 

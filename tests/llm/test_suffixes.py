@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -106,3 +107,63 @@ def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     got = sorted(tuple(r) for r in QUERIES["op5_suffix_dedup"](spark, folder).collect())
     assert got == brute(docs)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 3), st.booleans()), max_size=300), st.integers(1, 60))
+def test_suffix_array_of_wanted_positions(items, depth):
+    values, wanted = [v for v, _ in items], np.array([w for _, w in items], bool)
+    got = suffixes.suffix_array(np.array(values, np.int64), depth, wanted).tolist()
+    assert sorted(got) == np.flatnonzero(wanted).tolist()
+    parts = [values[i : i + depth] for i in got]
+    assert parts == sorted(parts)
+
+
+@settings(deadline=None)
+@given(st.lists(st.text("abé", max_size=150), min_size=1, max_size=6))
+def test_pieces_hold_every_string_once(texts):
+    length = 50
+    column = pa.array([(k, t) for k, t in enumerate(texts)], pa.struct([("doc_id", pa.int64()), ("text", pa.string())]))
+    rows = [r for b in suffixes._pieces(length)([pa.RecordBatch.from_struct_array(column)]) for r in b.to_pylist()]
+    pieces = [(r["key"], p) for r in rows for p in [r, *(r["more"] or [])]]
+    for doc, text in enumerate(texts):
+        body = text.encode()
+        strings = sorted((p["start"] + k, key) for key, p in pieces if p["doc_id"] == doc for k in range(p["size"] - length + 1))
+        assert [s for s, _ in strings] == list(range(len(body) - length + 1))
+    # Equal strings have one key, equal pieces one hash, and a row stands for its smallest document.
+    keys, twos = {}, {}
+    for key, p in pieces:
+        piece = texts[p["doc_id"]].encode()[p["start"] : p["start"] + p["size"]]
+        assert twos.setdefault(piece, p["two"]) == p["two"]
+        for k in range(len(piece) - length + 1):
+            assert keys.setdefault(piece[k : k + length], key) == key
+    assert all(r["doc_id"] <= min(p["doc_id"] for p in r["more"]) for r in rows if r["more"])
+
+
+def test_only_different_pieces_of_an_owner_are_sorted(spark, monkeypatch):
+    rng = random.Random(4)
+    common = "".join(rng.choices("abcdefgh ", k=2000))
+    docs = [(i, "".join(rng.choices("ijklmnop ", k=300)) + common + "".join(rng.choices("ijklmnop ", k=300))) for i in range(20)]
+    bodies, written = [], suffixes.written
+
+    def watched(df):
+        table = written(df)
+        bodies.extend(bytes(r.body) for r in table.collect() if "body" in table.columns)
+        return table
+
+    monkeypatch.setattr(suffixes, "written", watched)
+    assert run(spark, docs) == brute(docs)
+    # Well inside the passage all documents have the same pieces; those over its edges meet others.
+    assert bodies and not any(b in common[200:-200].encode() for b in bodies)
+
+
+@pytest.mark.parametrize("different", [False, True])
+def test_owners_of_many_different_pieces_are_spread(spark, monkeypatch, different):
+    rng = random.Random(8)
+    common = "".join(rng.choices("abcdefgh ", k=90))
+    around = ["".join(rng.choices("ijklmnop ", k=60)) for _ in range(2)]
+    docs = [(i, "".join(rng.choices("ijklmnop ", k=60)) + (around[i % 2] if not different else "") + common) for i in range(24)]
+    called, strings = [], suffixes._strings
+    monkeypatch.setattr(suffixes, "_strings", lambda length: called.append(length) or strings(length))
+    assert run(spark, docs, hot=12) == brute(docs)
+    assert bool(called) == different
